@@ -9,10 +9,10 @@ from rankspark.functions import analysis
 from rankspark.functions.exact import exact_sum, rank_key
 from rankspark.functions.scoring import Model
 from rankspark.operators.evaluate import judged, topic_metrics
-from rankspark.operators.index import Index
+from rankspark.operators.index import Index, at_documents, with_term_statistics
 from rankspark.operators.retrieve import search
 from rankspark.operators.weights import tfidf
-from rankspark.session import fits, keep, lookup_join
+from rankspark.session import fits, keep
 
 
 def feedback_docs(run: DataFrame, qrels: DataFrame, s: int) -> DataFrame:
@@ -29,17 +29,14 @@ def feedback_docs(run: DataFrame, qrels: DataFrame, s: int) -> DataFrame:
 
 def term_values(index: Index, chosen: DataFrame, field: str = "contents") -> DataFrame:
     """(topic_id, term, value): sum of tf-idf times document score over ``chosen``."""
-    rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
-    stats = index.term_stats.filter(F.col("field") == field).select("field", "term", "df")
-    totals = F.broadcast(index.field_stats.select("field", "n_docs"))
-    picked = lookup_join(
-        rows, chosen.select("topic_id", "doc_id", "score"), ["doc_id"], "term"
+    rows = index.postings.filter(F.col("field") == field).select(
+        "field", "doc_id", "term", "tf"
     )
+    picked = at_documents(rows, chosen.select("topic_id", "doc_id", "score"))
     # the chosen documents' terms are few: bring df to them
     vectors = keep(picked, "feedback-vectors")
     return (
-        lookup_join(stats, vectors, ["term"], "term", fits(vectors))
-        .join(totals, "field")
+        with_term_statistics(index, vectors, fits(vectors))
         .groupBy("topic_id", "term")
         .agg(rank_key(exact_sum(tfidf() * F.col("score"))).alias("value"))
     )

@@ -16,11 +16,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
-from rankspark.session import fits, lookup_join
+from rankspark.session import SALT, fits, lookup_join
 
 FIELDS = ("contents", "top5_lines", "bottom5_lines")
 BUCKET_BYTES = 256 << 20
@@ -34,6 +34,8 @@ MANIFEST = (
     "positions BOOLEAN"
 )
 HEAVY_TERMS = 20_000
+POINT_KEYS = 2_000
+MAX_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -220,9 +222,16 @@ def _save(
     return df.sparkSession.table(name)
 
 
-def default_buckets(spark: SparkSession, input_bytes: int = 0) -> int:
-    """About 256 MB of text per bucket, and no fewer buckets than cores."""
-    return max(spark.sparkContext.defaultParallelism, -(-input_bytes // BUCKET_BYTES))
+def default_buckets(docs: DataFrame) -> int:
+    """About ``BUCKET_BYTES`` of input per bucket, and no fewer buckets than cores.
+
+    The size is the optimizer's estimate from the files behind ``docs``; an
+    estimate it does not have (a huge default) is not used.
+    """
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    by_size = -(-size // BUCKET_BYTES) if size < 1 << 60 else 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return min(max(cores, by_size), MAX_BUCKETS)
 
 
 def _write_version(
@@ -280,7 +289,7 @@ def write_index(
     updating = bool(last) and mode != "create"
     if updating:
         buckets, fields, stopwords, positions = last[0][1:]
-    buckets = buckets or default_buckets(spark)
+    buckets = buckets or default_buckets(docs)
     plan = (buckets, list(fields), list(stopwords), positions)
     if mode != "create":
         docs = _last_copies(docs, order_by)
@@ -396,7 +405,7 @@ def term_vector(index: Index, doc_id, field: str = "contents") -> DataFrame:
 def term_vectors(index: Index, keys: DataFrame, field: str = "contents") -> DataFrame:
     """(doc_id, term, tf) for every document named in ``keys``."""
     rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
-    return lookup_join(rows, keys.select("doc_id").distinct(), ["doc_id"], "term")
+    return at_documents(rows, keys.select("doc_id").distinct())
 
 
 def postings_of(index: Index, term: str, field: str = "contents") -> DataFrame:
@@ -414,23 +423,79 @@ def range_filter(docs: DataFrame, column: str, low, high) -> DataFrame:
     return docs.filter(F.col(column).between(low, high))
 
 
-def with_term_statistics(index: Index, postings: DataFrame) -> DataFrame:
-    """Joins df, cf and the field totals to postings that keep all their terms.
+def _statistics(index: Index) -> tuple[DataFrame, Column]:
+    """Term statistics with the totals of their field, and the heavy-term test.
 
     Fewer than ``HEAVY_TERMS`` terms per field can have
-    df > n_postings / HEAVY_TERMS.  They cover most postings and are broadcast;
-    only postings of the remaining, rarer terms are shuffled, and none of those
-    terms holds more than that share of the rows.
+    df > n_postings / HEAVY_TERMS, because the df of a field add up to
+    n_postings.  That bound is what makes heavy terms safe to broadcast.
     """
     totals = F.broadcast(index.field_stats)  # one row per field
     stats = index.term_stats.join(totals, "field").select(
         "field", "term", "df", "cf", "n_docs", "n_docs_with_field", "sum_cf", "n_postings"
     )
-    is_heavy = F.col("df") > F.col("n_postings") / HEAVY_TERMS
+    return stats, F.col("df") > F.col("n_postings") / HEAVY_TERMS
+
+
+def with_term_statistics(
+    index: Index, rows: DataFrame, small_fits: bool = False
+) -> DataFrame:
+    """Adds df, cf and the field totals to rows that have ``field`` and ``term``.
+
+    Few rows are broadcast to the statistics.  Otherwise heavy terms, which
+    cover most rows, are broadcast; only rows of the rarer terms are shuffled,
+    and none of those terms holds a large share of them.
+    """
+    stats, is_heavy = _statistics(index)
+    if small_fits:
+        return stats.drop("n_postings").join(F.broadcast(rows), ["field", "term"])
     heavy = F.broadcast(stats.filter(is_heavy).drop("n_postings"))
     rare = stats.filter(~is_heavy).drop("n_postings")
-    frequent = postings.join(heavy, ["field", "term"])
-    others = postings.join(
-        F.broadcast(stats.filter(is_heavy).select("field", "term")), ["field", "term"], "left_anti"
-    ).join(rare, ["field", "term"])
+    names = F.broadcast(stats.filter(is_heavy).select("field", "term"))
+    frequent = rows.join(heavy, ["field", "term"])
+    others = rows.join(names, ["field", "term"], "left_anti").join(rare, ["field", "term"])
     return frequent.unionByName(others)
+
+
+def join_postings(
+    index: Index, small: DataFrame, small_fits: bool, field: str = "contents"
+) -> DataFrame:
+    """Postings (term, doc_id, tf, doc_len) of a field joined with ``small`` on term.
+
+    A small side that fits is broadcast.  Otherwise both sides are shuffled on
+    the term, and heavy terms on the term and a salt from the document.
+    """
+    rows = index.postings.filter(F.col("field") == field).select(
+        "term", "doc_id", "tf", "doc_len"
+    )
+    if small_fits:
+        return rows.join(F.broadcast(small), ["term"])
+    stats, is_heavy = _statistics(index)
+    heavy = F.broadcast(
+        stats.filter((F.col("field") == field) & is_heavy).select(
+            "term", F.lit(True).alias("heavy")
+        )
+    )
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc_id"), F.lit(SALT))).otherwise(0)
+    copies = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    left = rows.join(heavy, ["term"], "left").withColumn("salt", salt).drop("heavy")
+    right = (
+        small.join(heavy, ["term"], "left")
+        .withColumn("salt", F.explode(copies).cast("bigint"))
+        .drop("heavy")
+    )
+    return left.join(right, ["term", "salt"]).drop("salt")
+
+
+def at_documents(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of a table bucketed by ``doc_id`` joined with ``keys`` on doc_id.
+
+    Up to ``POINT_KEYS`` distinct keys are also given to the scan as literals,
+    so it opens only their buckets; more keys mean one pass over the table.
+    """
+    ids = keys.select("doc_id").distinct().limit(POINT_KEYS + 1).collect()
+    if len(ids) <= POINT_KEYS:
+        df = df.filter(F.col("doc_id").isin([r.doc_id for r in ids]))
+    return lookup_join(df, keys, ["doc_id"])

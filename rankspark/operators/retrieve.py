@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from rankspark.functions import analysis
 from rankspark.functions.exact import UNIT, rank_key, units
 from rankspark.functions.scoring import Model
-from rankspark.operators.index import Index
-from rankspark.session import fits, lookup_join
+from rankspark.operators.index import (
+    Index,
+    at_documents,
+    join_postings,
+    with_term_statistics,
+)
+from rankspark.session import fits, keep
 
 
 def topic_terms(topics: DataFrame, stopwords: Sequence[str] = ()) -> DataFrame:
@@ -37,25 +42,17 @@ def topic_range(topics: DataFrame, which: str = "all") -> DataFrame:
 
 def matches(index: Index, terms: DataFrame, field: str = "contents") -> DataFrame:
     """One row per (topic term, posting), with everything a model reads."""
-    stats = index.term_stats.filter(F.col("field") == field).select("field", "term", "df", "cf")
-    totals = F.broadcast(
-        index.field_stats.select("field", "n_docs", "n_docs_with_field", "sum_cf")
-    )
-    # one statistics row per topic term, so what holds for ``terms`` holds for both
     small = fits(terms)
-    known = lookup_join(stats, terms, ["term"], "term", small).join(totals, "field")
-    rows = index.postings.filter(F.col("field") == field).select(
-        "term", "doc_id", "tf", "doc_len"
-    )
-    return lookup_join(rows, known, ["term"], "doc_id", small)
+    known = with_term_statistics(index, terms.withColumn("field", F.lit(field)), small)
+    # one statistics row per topic term, so what fits before fits after
+    return join_postings(index, known.drop("field"), small, field)
 
 
 def match_any(index: Index, terms: DataFrame, field: str = "contents") -> DataFrame:
     """(topic_id, doc_id, n_terms): documents holding at least one topic term."""
-    rows = index.postings.filter(F.col("field") == field).select("term", "doc_id")
     words = terms.select("topic_id", "term")
     return (
-        lookup_join(rows, words, ["term"], "doc_id")
+        join_postings(index, words, fits(words), field)
         .groupBy("topic_id", "doc_id")
         .agg(F.count("*").alias("n_terms"))
     )
@@ -97,6 +94,5 @@ def total_hits(index: Index, terms: DataFrame, field: str = "contents") -> DataF
 
 def stored_fields(run: DataFrame, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The run with columns of its documents; only those columns are read."""
-    return lookup_join(
-        docs.select("doc_id", *columns), run, ["doc_id"], "doc_id"
-    ).select(*run.columns, *columns)
+    run = keep(run, "run")
+    return at_documents(docs.select("doc_id", *columns), run).select(*run.columns, *columns)

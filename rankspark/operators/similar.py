@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankspark.functions.exact import rank_key
-from rankspark.operators.index import Index
+from rankspark.operators.index import (
+    Index,
+    at_documents,
+    join_postings,
+    with_term_statistics,
+)
 from rankspark.operators.weights import weight
 from rankspark.session import fits, keep, lookup_join
 
@@ -27,29 +32,20 @@ def similar_docs(
     hence all sums are exact.  Candidates without a shared weight are undefined
     and dropped; ties go to the smaller doc_id.
     """
-    totals = F.broadcast(index.field_stats.filter(F.col("field") == field))
-    in_field = index.postings.filter(F.col("field") == field)
-    rows = in_field.select("doc_id", "term", "tf")
-    ids = seeds.select("doc_id").distinct()
-    stats = index.term_stats.filter(F.col("field") == field).select("field", "term", "df")
+    rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
     # the seeds' term vectors are read once and used three times
-    vectors = keep(lookup_join(rows, ids, ["doc_id"], "term"), "seed-vectors")
+    vectors = keep(at_documents(rows, seeds.select("doc_id").distinct()), "seed-vectors")
     small = fits(vectors)
     # df travels on the seed side: candidates hold the same terms
-    own = (
-        lookup_join(stats, vectors, ["term"], "term", small)
-        .join(totals.select("field", "n_docs"), "field")
-        .select(
-            F.col("doc_id").alias("seed_id"), "term", "df", "n_docs",
-            weight(scheme).alias("seed_w"),
-        )
+    own = with_term_statistics(index, vectors.withColumn("field", F.lit(field)), small).select(
+        F.col("doc_id").alias("seed_id"), "term", "df", "n_docs", weight(scheme).alias("seed_w")
     )
     norms = (
         own.groupBy("seed_id")
         .agg(F.sum(F.col("seed_w") * F.col("seed_w")).alias("norm_a"))
         .filter(F.col("norm_a") > 0)
     )
-    shared = lookup_join(rows, own, ["term"], "doc_id", small).filter(
+    shared = join_postings(index, own, small, field).filter(
         F.col("doc_id") != F.col("seed_id")
     )
     w = weight(scheme)
@@ -77,7 +73,6 @@ def _term_norms(index: Index, scheme: str, field: str) -> DataFrame:
         return stats.select("term", F.col("sum_tf2").alias("norm_b"))
     # tf-idf is cut to whole numbers, so its norm needs the tf values; a term has
     # few distinct ones, and the partial aggregation works on those
-    totals = F.broadcast(index.field_stats.filter(F.col("field") == field))
     tf_counts = (
         index.postings.filter(F.col("field") == field)
         .groupBy("field", "term", "tf")
@@ -85,8 +80,7 @@ def _term_norms(index: Index, scheme: str, field: str) -> DataFrame:
     )
     w = weight(scheme)
     return (
-        tf_counts.join(stats.select("term", "df"), "term")
-        .join(totals.select("field", "n_docs"), "field")
+        with_term_statistics(index, tf_counts)
         .groupBy("term")
         .agg(F.sum(F.col("n") * w * w).alias("norm_b"))
         .filter(F.col("norm_b") > 0)
@@ -104,16 +98,12 @@ def similar_terms(
     appear when a seed has fewer than k neighbours, and then the first 2k terms
     of the vocabulary are certain to hold enough of them.
     """
-    totals = F.broadcast(index.field_stats.filter(F.col("field") == field))
     rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
-    stats = index.term_stats.filter(F.col("field") == field).select("field", "term", "df")
-    names = seeds.select("term").distinct()
+    names = seeds.select("term", F.lit(field).alias("field")).distinct()
     small = fits(names)
-    seed_stats = lookup_join(stats, names, ["term"], "term", small).join(
-        totals.select("field", "n_docs"), "field"
-    )
+    known = with_term_statistics(index, names, small).select("term", "df", "n_docs")
     own = (
-        lookup_join(rows, seed_stats, ["term"], "doc_id", small)
+        join_postings(index, known, small, field)
         .select(F.col("term").alias("seed_term"), "doc_id", weight(scheme).alias("seed_w"))
         .filter(F.col("seed_w") > 0)
     )
@@ -131,8 +121,7 @@ def similar_terms(
             .agg(F.sum("seed_w").alias("seed_w"))
         )
         dots = (
-            by_tf.join(stats, "term")
-            .join(totals.select("field", "n_docs"), "field")
+            with_term_statistics(index, by_tf.withColumn("field", F.lit(field)))
             .groupBy("seed_term", "term")
             .agg(F.sum(F.col("seed_w") * weight(scheme)).alias("dot"))
             .filter(F.col("dot") > 0)
@@ -146,8 +135,7 @@ def similar_terms(
         )
     order = Window.partitionBy("seed_term").orderBy(F.desc("similarity"), "term")
     near = (
-        dots.join(norms, "term")
-        .join(seed_norms, "seed_term")
+        lookup_join(dots.join(norms, "term"), seed_norms, ["seed_term"], "term", small)
         .select(
             "seed_term",
             "term",

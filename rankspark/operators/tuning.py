@@ -11,11 +11,15 @@ from rankspark.functions.scoring import Model
 from rankspark.operators.evaluate import METRICS, mean_nonzero, topic_metrics
 from rankspark.operators.index import Index
 from rankspark.operators.retrieve import scores, top_m
+from rankspark.session import fits, lookup_join
 
 # The parameter grids.
 JM_GRID = (0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 DIR_GRID = (0.0, 500.0, 1000.0, 1500.0, 2000.0, 2500.0, 3000.0, 3500.0, 4000.0, 4500.0, 5000.0)
 
+# Groups of documents whose best scores give the floor.
+BLOCKS = 64
+
 
 def grid(name: str) -> list[Model]:
     if name not in ("jm", "dir"):
@@ -28,21 +32,39 @@ def settings_runs(
 ) -> DataFrame:
     """(model, param, topic_id, doc_id, score, rank): top n of every setting.
 
-    All settings are scored in one pass over the postings.
+    All settings are scored together.  Sorting every (setting, topic, document)
+    would dominate, so a first pass finds a floor: the best scores of ``BLOCKS`` groups of documents belong to that many different
+    documents, hence the n-th largest of them is not above the n-th best score.
+    Only rows that reach the floor are ranked, and the result is exact.
     """
     named: Mapping[str, Model] = {f"s{i}": m for i, m in enumerate(models)}
     wide = scores(index, terms, named, field)
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(max(BLOCKS, 4 * n)))
+    best = wide.groupBy("topic_id", block.alias("block")).agg(
+        *[F.max(c).alias(c) for c in named]
+    )
+    floors = best.groupBy("topic_id").agg(
+        *[
+            F.coalesce(
+                F.get(F.sort_array(F.collect_list(c), asc=False), F.lit(n - 1)), F.lit(-1.0)
+            ).alias(f"floor_{c}")
+            for c in named
+        ]
+    )
     settings = F.array(
         *[
             F.struct(
                 F.lit(m.name).alias("model"),
                 F.lit(float(m.param)).alias("param"),
-                F.col(c).alias("score"),
+                F.when(F.col(c) >= F.col(f"floor_{c}"), F.col(c)).alias("score"),
             )
             for c, m in named.items()
         ]
     )
-    long = wide.select("topic_id", "doc_id", F.inline(settings))
+    reached = F.filter(settings, lambda x: x["score"].isNotNull())
+    long = lookup_join(wide, floors, ["topic_id"], "doc_id", fits(terms)).select(
+        "topic_id", "doc_id", F.inline(reached)
+    )
     return top_m(long, n, ("model", "param", "topic_id"))
 
 

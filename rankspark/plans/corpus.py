@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rankspark.functions import analysis
 from rankspark.operators import index as ix
 from rankspark.operators import retrieve
-from rankspark.session import fresh_folder, keep
+from rankspark.session import fresh_folder, keep, lookup_join
 
 RELEVANT_SHARE = 0.5
 
@@ -68,8 +68,7 @@ def relevant_pairs(index: ix.Index, terms: DataFrame) -> DataFrame:
     """(topic_id, doc_id) with at least half of the topic's distinct terms."""
     sizes = terms.groupBy("topic_id").agg(F.count("*").alias("n_topic_terms"))
     return (
-        retrieve.match_any(index, terms)
-        .join(sizes, "topic_id")
+        lookup_join(retrieve.match_any(index, terms), sizes, ["topic_id"], "doc_id")
         .filter(F.col("n_terms") >= RELEVANT_SHARE * F.col("n_topic_terms"))
         .select("topic_id", "doc_id")
     )

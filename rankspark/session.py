@@ -51,19 +51,24 @@ def lookup_join(
     big: DataFrame,
     small: DataFrame,
     on: list[str],
-    spread: str,
+    spread: str | None = None,
     small_fits: bool | None = None,
 ) -> DataFrame:
     """Inner join of a large side with a side that is usually small.
 
     A small side of at most ``BROADCAST_ROWS`` rows is broadcast, so the large
     side does not move and keeps its layout.  Beyond that both sides are
-    shuffled on the keys plus a salt taken from ``spread`` (a column of the
-    large side), which cuts a key holding a large share of the rows into
-    ``SALT`` parts.  Pass ``small_fits`` where the answer is already known.
+    shuffled on the keys.  Where a key may hold a large share of the rows,
+    ``spread`` names a column of the large side that splits it: its hash gives
+    a salt, and the small side is copied ``SALT`` times.  Pass ``small_fits``
+    where the answer is already known.
     """
     if fits(small) if small_fits is None else small_fits:
         return big.join(F.broadcast(small), on)
-    salted = big.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int"))
-    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    if spread is None:
+        return big.join(small, on)
+    salted = big.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALT)))
+    copies = small.withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).cast("bigint")
+    )
     return salted.join(copies, [*on, "salt"]).drop("salt")
