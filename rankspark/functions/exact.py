@@ -20,6 +20,11 @@ def units(x: Column) -> Column:
     return F.floor(x * F.lit(UNIT) + F.lit(0.5)).cast("bigint")
 
 
+def from_units(name: str) -> Column:
+    """A sum of units as a double, rounded like ``rank_key`` in whole numbers."""
+    return F.expr(f"(`{name}` + 50) div 100") / F.lit(1e9)
+
+
 def exact_sum(x: Column) -> Column:
     return F.sum(units(x)) / F.lit(UNIT)
 

@@ -49,6 +49,13 @@ class Model:
         if self.name == "dir" and (self.param is None or self.param < 0):
             raise ValueError("dir needs a mu >= 0")
 
+    @property
+    def flat(self) -> bool:
+        """True if every match scores 0, so that only doc_id ranks."""
+        return (self.name == "jm" and self.param == 1) or (
+            self.name == "dir" and self.param == 0
+        )
+
     def contribution(self) -> Column:
         if self.name == "tfidf":
             return tfidf_score()

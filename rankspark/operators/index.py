@@ -438,17 +438,20 @@ def _statistics(index: Index) -> tuple[DataFrame, Column]:
 
 
 def with_term_statistics(
-    index: Index, rows: DataFrame, small_fits: bool = False
+    index: Index, rows: DataFrame, small_fits: bool = False, even: bool = False
 ) -> DataFrame:
     """Adds df, cf and the field totals to rows that have ``field`` and ``term``.
 
-    Few rows are broadcast to the statistics.  Otherwise heavy terms, which
-    cover most rows, are broadcast; only rows of the rarer terms are shuffled,
-    and none of those terms holds a large share of them.
+    Few rows are broadcast to the statistics, and ``even`` rows (no term holds
+    a large share) are shuffled once.  Otherwise heavy terms, which cover most
+    rows, are broadcast; only rows of the rarer terms are shuffled, and none of
+    those terms holds a large share of them.
     """
     stats, is_heavy = _statistics(index)
     if small_fits:
         return stats.drop("n_postings").join(F.broadcast(rows), ["field", "term"])
+    if even:
+        return rows.join(stats.drop("n_postings"), ["field", "term"])
     heavy = F.broadcast(stats.filter(is_heavy).drop("n_postings"))
     rare = stats.filter(~is_heavy).drop("n_postings")
     names = F.broadcast(stats.filter(is_heavy).select("field", "term"))

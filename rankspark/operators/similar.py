@@ -80,7 +80,7 @@ def _term_norms(index: Index, scheme: str, field: str) -> DataFrame:
     )
     w = weight(scheme)
     return (
-        with_term_statistics(index, tf_counts)
+        with_term_statistics(index, tf_counts, even=True)
         .groupBy("term")
         .agg(F.sum(F.col("n") * w * w).alias("norm_b"))
         .filter(F.col("norm_b") > 0)
@@ -99,7 +99,9 @@ def similar_terms(
     of the vocabulary are certain to hold enough of them.
     """
     rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
-    names = seeds.select("term", F.lit(field).alias("field")).distinct()
+    names = keep(
+        seeds.select("term", F.lit(field).alias("field")).distinct(), "seed-terms"
+    )
     small = fits(names)
     known = with_term_statistics(index, names, small).select("term", "df", "n_docs")
     own = (
@@ -107,10 +109,12 @@ def similar_terms(
         .select(F.col("term").alias("seed_term"), "doc_id", weight(scheme).alias("seed_w"))
         .filter(F.col("seed_w") > 0)
     )
-    seed_norms = own.groupBy("seed_term").agg(
-        F.sum(F.col("seed_w") * F.col("seed_w")).alias("norm_a")
-    )
     norms = _term_norms(index, scheme, field)
+    if scheme == "tfxidf":
+        norms = keep(norms, "term-norms")
+    seed_norms = lookup_join(norms, names.select("term"), ["term"], None, small).select(
+        F.col("term").alias("seed_term"), F.col("norm_b").alias("norm_a")
+    )
     if scheme == "tfxidf":
         # df is constant per term, so products are summed per (seed, term, tf)
         # and weighted once df is known
@@ -121,7 +125,7 @@ def similar_terms(
             .agg(F.sum("seed_w").alias("seed_w"))
         )
         dots = (
-            with_term_statistics(index, by_tf.withColumn("field", F.lit(field)))
+            with_term_statistics(index, by_tf.withColumn("field", F.lit(field)), even=True)
             .groupBy("seed_term", "term")
             .agg(F.sum(F.col("seed_w") * weight(scheme)).alias("dot"))
             .filter(F.col("dot") > 0)
@@ -145,6 +149,7 @@ def similar_terms(
         .filter(F.col("rank") <= k)
         .drop("rank")
     )
+    near = keep(near, "near-terms")
     # at most k neighbours per seed: a seed that has fewer gets zero-similarity terms
     found = (
         seed_norms.join(near, "seed_term", "left")

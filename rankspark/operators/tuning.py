@@ -32,38 +32,43 @@ def settings_runs(
 ) -> DataFrame:
     """(model, param, topic_id, doc_id, score, rank): top n of every setting.
 
-    All settings are scored together.  Sorting every (setting, topic, document)
-    would dominate, so a first pass finds a floor: the best scores of ``BLOCKS`` groups of documents belong to that many different
-    documents, hence the n-th largest of them is not above the n-th best score.
-    Only rows that reach the floor are ranked, and the result is exact.
+    All settings are scored together.  Instead of sorting every (setting, topic,
+    document), a first pass finds a floor: the best scores of ``BLOCKS`` groups
+    of documents belong to that many different documents, hence the n-th largest
+    of them is not above the n-th best score.  Only rows that reach the floor
+    are ranked, and the result is exact.
     """
     named: Mapping[str, Model] = {f"s{i}": m for i, m in enumerate(models)}
     wide = scores(index, terms, named, field)
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(max(BLOCKS, 4 * n)))
-    best = wide.groupBy("topic_id", block.alias("block")).agg(
-        *[F.max(c).alias(c) for c in named]
-    )
+    blocks = max(BLOCKS, 4 * n)
+    best = wide.groupBy(
+        "topic_id", F.expr(f"pmod(xxhash64(doc_id), {blocks})").alias("block")
+    ).agg(F.min("doc_id").alias("low"), *[F.max(c).alias(c) for c in named])
     floors = best.groupBy("topic_id").agg(
+        F.expr(f"get(sort_array(collect_list(low)), {n - 1})").alias("ceiling"),
         *[
-            F.coalesce(
-                F.get(F.sort_array(F.collect_list(c), asc=False), F.lit(n - 1)), F.lit(-1.0)
-            ).alias(f"floor_{c}")
+            F.expr(f"get(sort_array(collect_list({c}), false), {n - 1})").alias(f"floor_{c}")
             for c in named
-        ]
+        ],
     )
-    settings = F.array(
-        *[
-            F.struct(
-                F.lit(m.name).alias("model"),
-                F.lit(float(m.param)).alias("param"),
-                F.when(F.col(c) >= F.col(f"floor_{c}"), F.col(c)).alias("score"),
-            )
-            for c, m in named.items()
-        ]
+    # without a floor fewer than n groups matched, so every row may rank
+    within = {
+        c: "coalesce(doc_id <= ceiling, true)" if m.flat else f"coalesce({c} >= floor_{c}, true)"
+        for c, m in named.items()
+    }
+    rows = ", ".join(
+        f"named_struct('model', '{m.name}', 'param', {float(m.param)}D, "
+        f"'score', CASE WHEN {within[c]} THEN {c} END)"
+        for c, m in named.items()
     )
-    reached = F.filter(settings, lambda x: x["score"].isNotNull())
-    long = lookup_join(wide, floors, ["topic_id"], "doc_id", fits(terms)).select(
-        "topic_id", "doc_id", F.inline(reached)
+    long = (
+        lookup_join(wide, floors, ["topic_id"], "doc_id", fits(terms))
+        .filter(" OR ".join(within.values()))
+        .selectExpr(
+            "topic_id",
+            "doc_id",
+            f"inline(filter(array({rows}), x -> x.score IS NOT NULL))",
+        )
     )
     return top_m(long, n, ("model", "param", "topic_id"))
 

@@ -52,6 +52,11 @@ def _units(x: str) -> str:
     return f"(sum(CAST(floor(({x}) * 1e11 + 0.5) AS BIGINT))::DOUBLE / 1e11)"
 
 
+def _score(x: str) -> str:
+    """The same sum in whole steps of 1e-9, as a score."""
+    return f"((sum(CAST(floor(({x}) * 1e11 + 0.5) AS BIGINT)) + 50) // 100)::DOUBLE / 1e9"
+
+
 TABLES: dict[str, str] = {
     "raw": f"SELECT *, source || '/' || doc_id || '.' || lang AS path, "
     f"strlen(text) / 1000::DOUBLE AS size_kb, {_unix('text')} AS u FROM documents",
@@ -109,7 +114,7 @@ def _run(model: str, m: int, matches: str = "m") -> str:
     return (
         "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic_id "
         "ORDER BY score DESC, doc_id) AS rank FROM (SELECT topic_id, doc_id, "
-        f"round({_units(model)}, 9) AS score FROM {matches} GROUP BY topic_id, doc_id)) "
+        f"{_score(model)} AS score FROM {matches} GROUP BY topic_id, doc_id)) "
         f"WHERE rank <= {m}"
     )
 
@@ -168,7 +173,7 @@ TABLES |= {
     "every": "SELECT model, param, topic_id FROM settings, topics",
     "allruns": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, param, topic_id "
     "ORDER BY score DESC, doc_id) AS rank FROM (SELECT model, param, topic_id, doc_id, "
-    f"round({_units(f'''CASE WHEN model = 'jm' THEN {_jm('param')} WHEN param = 0 THEN 0 ELSE {_dir('param')} END''')}, 9) "
+    f"{_score(f'''CASE WHEN model = 'jm' THEN {_jm('param')} WHEN param = 0 THEN 0 ELSE {_dir('param')} END''')} "
     f"AS score FROM m, settings GROUP BY ALL)) WHERE rank <= {cat.CUT}",
     "allmet": _metrics("allruns", "qrels", "every", cat.CUT, "model, param, "),
     "longmet": "SELECT model, param, topic_id, metric, value FROM (SELECT model, param, topic_id, "
