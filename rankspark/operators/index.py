@@ -271,10 +271,11 @@ def write_index(
 ) -> Index:
     """Indexes ``docs`` (``doc_id``, ``text``, any further columns) at ``path``.
 
-    ``create`` replaces what is there and adds every row.  ``append`` (the index
-    must exist) and ``create_or_append`` replace documents that have the same
-    ``doc_id`` and keep the others; of several copies inside ``docs`` the last
-    by the column ``order_by`` wins.  An index that exists keeps the fields,
+    ``create`` replaces what is there and adds every row; ``doc_id`` must then be
+    unique.  ``append`` (the index must exist) and ``create_or_append`` replace
+    documents that have the same ``doc_id`` and keep the others; of several
+    copies inside ``docs`` the last by the column ``order_by`` wins (any one of
+    them without that column).  An index that exists keeps the fields,
     stop words and layout it was made with.  Each call writes a new version
     folder, so a reader of the previous version, or a failed job, never sees a
     half-written table.
@@ -479,16 +480,13 @@ def join_postings(
             "term", F.lit(True).alias("heavy")
         )
     )
-    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc_id"), F.lit(SALT))).otherwise(0)
-    copies = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    left = rows.join(heavy, ["term"], "left").withColumn("salt", salt).drop("heavy")
-    right = (
-        small.join(heavy, ["term"], "left")
-        .withColumn("salt", F.explode(copies).cast("bigint"))
-        .drop("heavy")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
+    left = rows.join(heavy, ["term"], "left").withColumn(
+        "salt", F.when(F.col("heavy"), salt).otherwise(0)
     )
+    copies = F.sequence(F.lit(0), F.when(F.col("heavy"), SALT - 1).otherwise(0))
+    right = small.join(heavy, ["term"], "left").withColumn("salt", F.explode(copies))
+    left, right = left.drop("heavy"), right.drop("heavy")
     return left.join(right, ["term", "salt"]).drop("salt")
 
 

@@ -47,6 +47,10 @@ def scan_tree(
     )
 
 
-def write_tree(docs: DataFrame, root: str, key: str = "doc_id", text: str = "text") -> None:
+def write_tree(
+    docs: DataFrame, root: str, key: str = "doc_id", text: str = "text", tasks: int | None = None
+) -> None:
     """Writes one text file per document, below a folder named after its key."""
-    docs.select(F.col(key), F.col(text)).repartition(key).write.partitionBy(key).text(root)
+    rows = docs.select(F.col(key), F.col(text))
+    tasks = tasks or docs.sparkSession.sparkContext.defaultParallelism
+    rows.repartition(tasks, key).write.partitionBy(key).text(root)
