@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
-from rankspark.session import SALT, fits, lookup_join
+from rankspark.session import BROADCAST_ROWS, SALT, fits, lookup_join
 
 FIELDS = ("contents", "top5_lines", "bottom5_lines")
 BUCKET_BYTES = 256 << 20
@@ -33,7 +33,7 @@ MANIFEST = (
     "version INT, buckets INT, fields ARRAY<STRING>, stopwords ARRAY<STRING>, "
     "positions BOOLEAN"
 )
-HEAVY_TERMS = 20_000
+HEAVY_TERMS = BROADCAST_ROWS
 POINT_KEYS = 2_000
 MAX_BUCKETS = 100_000
 
@@ -237,7 +237,7 @@ def default_buckets(docs: DataFrame) -> int:
 def _write_version(
     docs: DataFrame, make_postings, plan: tuple, path: str, version: int
 ) -> None:
-    buckets, fields, _, _ = plan
+    buckets, fields, stopwords, positions = plan
     spark = docs.sparkSession
     docs = _save(docs, path, version, "docs", buckets, ["doc_id"])
     postings = _save(
@@ -254,9 +254,14 @@ def _write_version(
     terms = spark.read.schema(TERM_STATS).parquet(f"{root}/term_stats")
     field_statistics(doc_stats, terms).write.mode("overwrite").parquet(f"{root}/field_stats")
     # The manifest row comes last: a version that failed half-way is never opened.
-    spark.createDataFrame([(version, *plan)], MANIFEST).coalesce(1).write.mode(
-        "append"
-    ).parquet(f"{path}/manifest")
+    words = F.array(*map(F.lit, stopwords)).cast("array<string>")
+    spark.range(1).select(
+        F.lit(version).alias("version"),
+        F.lit(buckets).alias("buckets"),
+        F.array(*map(F.lit, fields)).alias("fields"),
+        words.alias("stopwords"),
+        F.lit(positions).alias("positions"),
+    ).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
 
 def write_index(

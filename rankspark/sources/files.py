@@ -25,7 +25,8 @@ def scan_tree(
     the path.  With ``extensions`` a file is kept if its path has no dot or
     ends, from the last dot of the whole path on, in a listed extension (such
     as ``.txt``, case-sensitive); a root that is itself a file is always kept.
-    Unlisted files are dropped before they are opened.  The two provenance
+    Unlisted files are dropped before they are opened, and Spark's file listing
+    leaves out files of zero bytes.  The two provenance
     columns stand for the host and thread that read the file.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)

@@ -32,8 +32,8 @@ def test_scan_tree(spark, tree):
     root, texts = tree
     got = files.scan_tree(spark, [f"{root}/one", f"{root}/two"]).collect()
     by_path = {os.path.relpath(r.path, root): r for r in got}
-    # a file without any byte has no row to carry; all others are one row each
-    assert set(by_path) - {"two/empty.txt"} == set(texts) - {"two/empty.txt"}
+    # Spark lists no file of zero bytes
+    assert set(by_path) == set(texts) - {"two/empty.txt"}
     for name, r in by_path.items():
         assert r.text == texts[name]
         assert r.size_kb == len(texts[name].encode()) / 1000
@@ -58,6 +58,14 @@ def test_tree_is_indexed_by_path(spark, tree):
     assert {r.doc_id.split("/")[-2] for r in ix.postings_of(index, "root").collect()} == {"one", "two"}
 
 
+def test_unlisted_files_are_not_opened(spark, tree):
+    root, _ = tree
+    df = files.scan_tree(spark, f"{root}/one", [".sgm"])
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() == 1
+
+
 def write(tmp_path, name, text):
     path = tmp_path / name
     path.write_bytes(text.encode())
