@@ -235,7 +235,12 @@ def default_buckets(docs: DataFrame) -> int:
 
 
 def _write_version(
-    docs: DataFrame, make_postings, plan: tuple, path: str, version: int
+    docs: DataFrame,
+    make_postings,
+    plan: tuple,
+    path: str,
+    version: int,
+    doc_stats: DataFrame | None = None,
 ) -> None:
     buckets, fields, stopwords, positions = plan
     spark = docs.sparkSession
@@ -243,9 +248,10 @@ def _write_version(
     postings = _save(
         make_postings(docs), path, version, "postings", buckets, ["field", "term", "doc_id"]
     )
+    if doc_stats is None:
+        doc_stats = document_statistics(docs, postings, fields)
     doc_stats = _save(
-        by_document(document_statistics(docs, postings, fields), buckets),
-        path, version, "doc_stats", buckets, ["field", "doc_id"],
+        by_document(doc_stats, buckets), path, version, "doc_stats", buckets, ["field", "doc_id"]
     )
     root = f"{path}/v{version}"
     term_statistics(postings).sortWithinPartitions("field", "term").write.mode(
@@ -394,6 +400,30 @@ def merge_indexes(parts: Sequence[Index]) -> Index:
     )
 
 
+def write_merged(
+    parts: Sequence[Index],
+    path: str,
+    stopwords: Sequence[str] = (),
+    buckets: int | None = None,
+) -> Index:
+    """Writes the merge of ``parts`` at ``path``, replacing what is there.
+
+    ``stopwords`` are those the parts were made with, for later updates.
+    """
+    merged = merge_indexes(parts)
+    spark = merged.docs.sparkSession
+    last = _manifest(spark, path)
+    buckets = buckets or default_buckets(merged.docs)
+    fields = sorted(r.field for r in merged.field_stats.select("field").collect())
+    plan = (buckets, fields, list(stopwords), "positions" in merged.postings.columns)
+    _write_version(
+        by_document(merged.docs, buckets),
+        lambda _: by_document(merged.postings, buckets),
+        plan, path, last[0].version + 1 if last else 0, merged.doc_stats,
+    )
+    return open_index(spark, path)
+
+
 # --- reading --------------------------------------------------------------------
 
 

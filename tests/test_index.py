@@ -68,10 +68,25 @@ def test_merged_parts_equal_one_pass(spark):
         assert sorted(rows(left.select(right.columns))) == sorted(rows(right)), name
 
 
+def test_written_parts_are_merged_and_written(spark):
+    docs = spark.createDataFrame(MICRO, DOC)
+    halves = [docs.filter("doc_id < 3"), docs.filter("doc_id > 2")]
+    parts = [ix.write_index(h, fresh_folder(spark, "part"), buckets=2) for h in halves]
+    target = fresh_folder(spark, "merged")
+    ix.write_index(spark.createDataFrame([(9, "old")], DOC), target, buckets=2)
+    merged, whole = ix.write_merged(parts, target, buckets=2), ix.build_index(ix.describe(docs))
+    for name in ("postings", "doc_stats", "term_stats", "field_stats"):
+        left, right = getattr(merged, name), getattr(whole, name)
+        assert sorted(rows(left.select(right.columns))) == sorted(rows(right)), name
+
+
 def test_equal_keys_are_not_merged(spark):
     docs = ix.describe(spark.createDataFrame([(1, "a b")], DOC))
-    merged = ix.merge_indexes([ix.build_index(docs), ix.build_index(docs)])
-    assert merged.field_stats.first().n_docs == 2
+    parts = [ix.build_index(docs), ix.build_index(docs)]
+    for merged in (ix.merge_indexes(parts), ix.write_merged(parts, fresh_folder(spark, "twice"), buckets=2)):
+        field = merged.field_stats.first()
+        assert (field.n_docs, field.sum_cf, field.n_terms) == (2, 4, 2)
+        assert sorted(rows(merged.doc_stats.select("doc_id", "doc_len"))) == [(1, 2), (1, 2)]
 
 
 def test_empty_documents_count(spark):
