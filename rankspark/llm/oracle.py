@@ -17,6 +17,20 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+ARCHIVE = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+), g AS (
+  SELECT digest, max(page_id) AS leader FROM p WHERE octet_length(payload) >= 1000
+  GROUP BY digest HAVING count(*) > 1
+)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN leader IS NULL OR page_id IS NOT DISTINCT FROM leader THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN leader IS NOT NULL AND page_id IS DISTINCT FROM leader THEN leader END AS refers_to
+FROM p LEFT JOIN g ON p.digest = g.digest
+"""
+
 ORACLE: dict[str, str] = {
     "op5_block_nearest": NEAREST,
+    "op7_warc_dictionary": ARCHIVE,
 }

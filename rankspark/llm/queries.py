@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
+from rankspark.llm import warc
+from rankspark.session import fresh_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,14 @@ def op5_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn.nearest(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "warc")
+    warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), folder)
+    read = warc.read_archives(spark, folder, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_block_nearest": op5_block_nearest,
+    "op7_warc_dictionary": op7_warc_dictionary,
 }
