@@ -157,3 +157,13 @@ def window_minima(values: np.ndarray, first: np.ndarray, width: int) -> np.ndarr
     chosen = np.zeros(len(values), bool)
     chosen[best[complete]] = True
     return np.flatnonzero(chosen)
+
+
+def chunks(offsets: np.ndarray, most: int = 1 << 21):
+    """(from, to) ranges of texts that together hold about ``most`` bytes (one text at least)."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        end = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
+        end = min(n, max(end, at + 1))
+        yield at, end
+        at = end
