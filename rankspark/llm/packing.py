@@ -33,10 +33,10 @@ def place_cuts(
     stops: np.ndarray, ends: np.ndarray, capacity: int, sentence_cost: float, inside_cost: float
 ) -> tuple[np.ndarray, np.ndarray]:
     """(positions, penalties) of all cuts of a stream: document ends, sentence ends, and
-    places inside stretches of more than an eighth of the capacity that have neither."""
+    places inside stretches of more than a 128th of the capacity that have neither."""
     near = np.union1d(stops, ends)
     gaps = np.diff(np.concatenate([[0], near]))
-    step = max(1, capacity // 8)
+    step = max(1, capacity // 128)
     inside = [
         np.arange(end - gap + step, end, step)
         for end, gap in zip(near[gaps > step].tolist(), gaps[gaps > step].tolist(), strict=True)
