@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import packing, warc
+from rankspark.llm import greedy, packing, warc
 from rankspark.session import fresh_folder
 
 
@@ -20,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_greedy_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return greedy.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op5_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return nn.nearest(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
@@ -34,6 +38,7 @@ def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_greedy_token_counts": op4_greedy_token_counts,
     "op5_block_nearest": op5_block_nearest,
     "op7_warc_dictionary": op7_warc_dictionary,
 }

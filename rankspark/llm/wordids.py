@@ -15,14 +15,13 @@ import unicodedata
 
 import numpy as np
 
-from rankspark.llm.columns import segment_hashes
+from rankspark.llm.memo import WordMemo
 
 SPACE, LETTER, NUMBER, OTHER, UNSURE = range(5)
 # The file's contractions, and its white space up to U+024F.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 WHITE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0)
 SENTENCE_END = re.compile(r"[.!?]+")
-SLOTS = 1 << 20
 
 
 def _code_classes(upto: int = 0x250) -> tuple[np.ndarray, np.ndarray]:
@@ -50,17 +49,14 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kinds, self.lower = _code_classes()
-        self.most_words = most_words
+        self.most_words, self.memo = most_words, WordMemo(self.learn)
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # sorted
-        self.values = np.zeros(0, np.int64)
+        self.memo.clear()
         self.flat = np.zeros(0, np.int32)
         self.offsets = np.zeros(1, np.int64)
         self.stops = np.zeros(0, bool)
-        self.slot_keys = np.zeros(SLOTS, np.uint64)
-        self.slot_values = np.full(SLOTS, -1, np.int32)
 
     def plain(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bytes in lower case, class of each byte, which texts are certain).
@@ -116,48 +112,17 @@ class WordIds:
         keep = kinds[starts] != SPACE
         return starts[keep], ends[keep]
 
-    def learn(self, words: list[str], hashes: np.ndarray) -> None:
+    def learn(self, words: list[bytes]) -> None:
         """Adds distinct words; one call of the tokenizer for all of them."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        texts = [w.decode() for w in words]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         owner = np.array(found.word_ids, np.int64)
         if len(owner) == 0 or owner[-1] != len(words) - 1 or np.any(np.diff(owner) < 0):
             raise ValueError("the tokenizer splits words in another way")
-        base = len(self.stops)
         sizes = np.bincount(owner, minlength=len(words))
         self.flat = np.concatenate([self.flat, np.array(found.ids, np.int32)])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-        self.stops = np.concatenate([self.stops, [bool(SENTENCE_END.fullmatch(w)) for w in words]])
-        keys = np.concatenate([self.keys, hashes])
-        values = np.concatenate([self.values, base + np.arange(len(words))])
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-
-    def word_numbers(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        hashes = segment_hashes(text, starts, ends)
-        slot = (hashes >> np.uint64(44)).astype(np.int64)
-        out = self.slot_values[slot].astype(np.int64)
-        out[self.slot_keys[slot] != hashes] = -1
-        missed = np.flatnonzero(out < 0)
-        if len(missed):
-            distinct, first, back = np.unique(hashes[missed], return_index=True, return_inverse=True)
-            place = np.searchsorted(self.keys, distinct)
-            known = np.zeros(len(distinct), bool)
-            inside = place < len(self.keys)
-            known[inside] = self.keys[place[inside]] == distinct[inside]
-            new = np.flatnonzero(~known)
-            if len(new):
-                at = missed[first[new]]
-                data = text.tobytes()
-                self.learn(
-                    [data[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)],
-                    distinct[new],
-                )
-                place = np.searchsorted(self.keys, distinct)
-            numbers = self.values[place]
-            out[missed] = numbers[back]
-            slot = (distinct >> np.uint64(44)).astype(np.int64)
-            self.slot_keys[slot], self.slot_values[slot] = distinct, numbers
-        return out
+        self.stops = np.concatenate([self.stops, [bool(SENTENCE_END.fullmatch(w)) for w in texts]])
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, stops): text i has ids[first[i]:first[i + 1]]; stops are positions after a sentence end."""
@@ -169,7 +134,7 @@ class WordIds:
         ids, counts, stop_at = np.zeros(0, np.int32), np.zeros(n, np.int64), np.zeros(0, np.int64)
         starts, ends = self.spans(text, kinds, offsets) if len(text) else (np.zeros(0, np.int64),) * 2
         if len(starts):
-            number = self.word_numbers(text, starts, ends)
+            number = self.memo.numbers(text, starts, ends)
             sizes = self.offsets[number + 1] - self.offsets[number]
             total = np.cumsum(sizes)
             before = total - sizes
