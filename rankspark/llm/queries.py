@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import greedy, packing, warc
+from rankspark.llm import decontaminate, greedy, packing, warc
 from rankspark.session import fresh_folder
 
 
@@ -36,9 +36,14 @@ def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_greedy_token_counts": op4_greedy_token_counts,
     "op5_block_nearest": op5_block_nearest,
     "op7_warc_dictionary": op7_warc_dictionary,
+    "op10_spaced_seeds": op10_spaced_seeds,
 }
