@@ -212,18 +212,18 @@ def _predict_task(sent):
     return work
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with lang_pred and score (columns of these names are replaced).
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs`` with lang_pred and score.
 
-    ``lang_pred`` is ``und`` and the score 0 where the text is null or has no letter, or
+    Columns of these two names are replaced.  ``lang_pred`` is ``und`` and the score 0 where the text is null or has no letter, or
     if the model knows no language.  The score is the share of the best language among
     the two best: 0.5 is a tie (the first name in order wins), 0 means that no n-gram of
     the text is known.  Rows keep their number; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    kept = docs.drop("lang_pred", "score")
+    kept = (docs.select(*keep) if keep else docs).drop("lang_pred", "score")
     text = F.coalesce(F.lower(F.col("text").cast("string")), F.lit(""))
-    rows = kept.select(text.alias("_text"), has_letters(F.col("text")).alias("_letters"), *kept.columns)
+    rows = docs.select(text.alias("_text"), has_letters(F.col("text")).alias("_letters"), *kept.columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     sent = spark.sparkContext.broadcast(model)
     return rows.mapInArrow(_predict_task(sent), f"{schema}, lang_pred string, score double")
@@ -233,4 +233,4 @@ def identify(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learns on the rows that are not held out, predicts all."""
     with_mark = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     model = learn(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), **options)
-    return predict(with_mark, model).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(with_mark, model, keep=("doc_id", "held_out")).select("doc_id", "held_out", "lang_pred", "score")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import decontaminate, greedy, language, packing, warc
+from rankspark.llm import decontaminate, greedy, language, packing, toxicity, warc
 from rankspark.session import fresh_folder
 
 
@@ -24,6 +24,10 @@ def op2_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_greedy_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return greedy.token_counts(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_filters": op2_language_filters,
+    "op3_toxic_lexicon": op3_toxic_lexicon,
     "op4_greedy_token_counts": op4_greedy_token_counts,
     "op5_block_nearest": op5_block_nearest,
     "op7_warc_dictionary": op7_warc_dictionary,
