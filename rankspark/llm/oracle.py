@@ -30,7 +30,35 @@ SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, p.digest
 FROM p LEFT JOIN g ON p.digest = g.digest
 """
 
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n FROM s),
+g AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM n
+  UNION
+  SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id
+FROM n JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON n.doc_id = c.a
+"""
+
 ORACLE: dict[str, str] = {
     "op5_block_nearest": NEAREST,
     "op7_warc_dictionary": ARCHIVE,
+    "op9_jaccard_join": JACCARD,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import decontaminate, greedy, language, packing, toxicity, warc
+from rankspark.llm import decontaminate, greedy, jaccard, language, packing, toxicity, warc
 from rankspark.session import fresh_folder
 
 
@@ -44,6 +44,10 @@ def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,5 +59,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_greedy_token_counts": op4_greedy_token_counts,
     "op5_block_nearest": op5_block_nearest,
     "op7_warc_dictionary": op7_warc_dictionary,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_spaced_seeds": op10_spaced_seeds,
 }
