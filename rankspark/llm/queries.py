@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import decontaminate, greedy, jaccard, language, packing, toxicity, warc
+from rankspark.llm import decontaminate, greedy, jaccard, language, packing, suffixes, toxicity, warc
 from rankspark.session import fresh_folder
 
 
@@ -37,6 +37,10 @@ def op5_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn.nearest(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.strip_repeats(table(spark, sf_dir, "documents"), length=100, keep_text=False)
+
+
 def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "warc")
     warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), folder)
@@ -58,6 +62,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxic_lexicon": op3_toxic_lexicon,
     "op4_greedy_token_counts": op4_greedy_token_counts,
     "op5_block_nearest": op5_block_nearest,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc_dictionary": op7_warc_dictionary,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_spaced_seeds": op10_spaced_seeds,
