@@ -1,11 +1,16 @@
-"""A bitmap of fixed size that lets a scan leave out most rows a later join would drop.
+"""Bitmaps of fixed size that let a scan leave out most rows a later join would drop.
 
-It never decides anything: rows it lets through by chance are dropped by the join.
+They never decide anything: rows let through by chance are dropped by the join.
+:func:`build` and :func:`holds` go by Spark's hash of a key, :func:`value_map` and
+:func:`maps` by the upper bits of values that are hashes already.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +37,38 @@ def build(keys: DataFrame, name: str) -> bytes:
 def holds(bitmap: bytes, places: np.ndarray) -> np.ndarray:
     bits = np.frombuffer(bitmap, np.uint8)
     return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
+# bits of the map of hash values, and how many of them make one piece of it
+MAP_BITS, PIECE_BITS = 28, 17
+
+
+def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pieces: dict[int, np.ndarray] = {}
+    for batch in batches:
+        where = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+        where.sort()
+        piece = where >> PIECE_BITS
+        cut = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)]
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            if b > a:
+                bits = pieces.setdefault(int(piece[a]), np.zeros(1 << PIECE_BITS, bool))
+                bits[where[a:b] & ((1 << PIECE_BITS) - 1)] = True
+    for piece, bits in pieces.items():
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([packed], pa.binary())], ["piece", "bits"])
+
+
+def value_map(values: DataFrame, name: str) -> bytes:
+    """A bit for each 64-bit hash value, by its upper bits: 2**MAP_BITS bits whatever the input."""
+    piece = F.shiftrightunsigned(name, 64 - MAP_BITS + PIECE_BITS)
+    rows = values.select(name).repartition(piece).mapInArrow(_piece_task, "piece int, bits binary").collect()
+    out = np.zeros((1 << (MAP_BITS - PIECE_BITS), 1 << (PIECE_BITS - 3)), np.uint8)
+    for row in rows:
+        out[row["piece"]] |= np.frombuffer(row["bits"], np.uint8)
+    return out.tobytes()
+
+
+def maps(value_bits: bytes, values: np.ndarray) -> np.ndarray:
+    where = (values >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return (np.frombuffer(value_bits, np.uint8)[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1

@@ -117,7 +117,7 @@ def shingle_hashes(
     out = np.zeros(len(at), np.uint64)
     for k in range(size):
         out += hashes[at + k] * weight[k]
-    out = mix(out + U64(size) * MIX_A)
+    out = mix(out + U64(size * int(MIX_A) % 2**64))
     if not short.any():
         return out, out_first
     full = np.zeros(int(out_first[-1]), np.uint64)
@@ -125,7 +125,7 @@ def shingle_hashes(
     full[slot] = out
     for i in np.flatnonzero(short):
         own = hashes[first[i] : first[i + 1]]
-        full[out_first[i]] = mix(np.array([(own * weight[: len(own)]).sum() + U64(len(own)) * MIX_A], np.uint64))[0]
+        full[out_first[i]] = mix((own * weight[: len(own)]).sum(keepdims=True) + U64(len(own) * int(MIX_A) % 2**64))[0]
     return full, out_first
 
 

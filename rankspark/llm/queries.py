@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import decontaminate, greedy, jaccard, language, packing, suffixes, toxicity, warc
+from rankspark.llm import decontaminate, greedy, jaccard, language, packing, passages, suffixes, toxicity, warc
+from rankspark.llm.ship import ship_package
 from rankspark.session import fresh_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -48,6 +50,10 @@ def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -64,6 +70,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_block_nearest": op5_block_nearest,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc_dictionary": op7_warc_dictionary,
+    "op8_collinear_passages": op8_collinear_passages,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_spaced_seeds": op10_spaced_seeds,
 }

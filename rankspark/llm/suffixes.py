@@ -26,13 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankspark.llm import bwt
+from rankspark.llm import bitmap, bwt
 from rankspark.llm.columns import BASE, U64, chunks, mix, text_bytes
 from rankspark.session import keep
 
 GRAM = 32
-# bits of the map of repeated anchors, and how many of them make one piece of it
-MAP_BITS, PIECE_BITS = 28, 17
 # windows of one anchor value that a task may hold, bytes of a shard, bytes merged at once
 MOST_WINDOWS, SHARD_BYTES, MERGE_BYTES = 1 << 19, 1 << 17, 1 << 20
 LAST_ID = 2**63 - 1
@@ -104,33 +102,10 @@ def _anchor_task(length: int):
     return work
 
 
-def _map_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pieces: dict[int, np.ndarray] = {}
-    for batch in batches:
-        where = (batch.column(0).to_numpy().view(np.uint64) >> U64(64 - MAP_BITS)).astype(np.int64)
-        for piece in np.unique(where >> PIECE_BITS).tolist():
-            bits = pieces.setdefault(piece, np.zeros(1 << PIECE_BITS, bool))
-            bits[where[where >> PIECE_BITS == piece] & ((1 << PIECE_BITS) - 1)] = True
-    for piece, bits in pieces.items():
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([packed], pa.binary())], ["piece", "bits"])
-
-
-def repeated_map(values: DataFrame) -> bytes:
-    """A bit for each repeated anchor, by its upper bits: 2**MAP_BITS bits whatever the input."""
-    piece = F.shiftrightunsigned("anchor", 64 - MAP_BITS + PIECE_BITS)
-    rows = values.select("anchor").repartition(piece).mapInArrow(_map_task, "piece int, bits binary").collect()
-    out = np.zeros((1 << (MAP_BITS - PIECE_BITS), 1 << (PIECE_BITS - 3)), np.uint8)
-    for row in rows:
-        out[row["piece"]] |= np.frombuffer(row["bits"], np.uint8)
-    return out.tobytes()
-
-
 def _stretch_task(sent, length: int):
     """The stretches of repeated anchors."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             raw, offsets = text_bytes(batch.column(0))
             content, doc = batch.column(1).to_numpy(), batch.column(2).to_numpy()
@@ -138,8 +113,7 @@ def _stretch_task(sent, length: int):
                 lo = offsets[a]
                 part = raw[lo : offsets[b]]
                 value, _, first, last, text = anchors(part, offsets[a : b + 1] - lo, length)
-                where = (value >> U64(64 - MAP_BITS)).astype(np.int64)
-                hit = np.flatnonzero((bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1)
+                hit = np.flatnonzero(bitmap.maps(sent.value, value))
                 if not len(hit):
                     continue
                 value, first, last, text = value[hit], first[hit], last[hit], text[hit]
@@ -292,7 +266,7 @@ def repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         .filter("a != b or twice")
         .select("anchor")
     )
-    sent = spark.sparkContext.broadcast(repeated_map(repeated))
+    sent = spark.sparkContext.broadcast(bitmap.value_map(repeated, "anchor"))
     found = texts.mapInArrow(
         _stretch_task(sent, length), "anchor long, stretch binary, doc long, content long, at int"
     )
