@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITS = 25
@@ -39,6 +39,39 @@ def holds(bitmap: bytes, places: np.ndarray) -> np.ndarray:
     return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
 
+def table(spark: SparkSession, bitmap: bytes) -> DataFrame:
+    """The bitmap as (piece, bits) rows of 8 kB, for a broadcast of fixed size."""
+    size = 1 << 13
+    rows = [(k, bitmap[at : at + size]) for k, at in enumerate(range(0, len(bitmap), size))]
+    return spark.createDataFrame([r for r in rows if any(r[1])], "_piece long, _bits binary")
+
+
+def look_up(df: DataFrame, pieces: DataFrame, key: Column, name: str) -> DataFrame:
+    """``df`` with a boolean column: false where the key is surely not in the bitmap."""
+    at = place(key)
+    joined = df.withColumn("_place", at).join(
+        F.broadcast(pieces), F.shiftright("_place", 16) == F.col("_piece"), "left"
+    )
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_place % 65536 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("cast(shiftleft(1, cast(_place % 8 as int)) as int)")
+    return joined.withColumn(name, F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False))).drop(
+        "_place", "_piece", "_bits"
+    )
+
+
+def without(df: DataFrame, gone: DataFrame, on: dict[str, Column]) -> DataFrame:
+    """The rows of ``df`` whose key is not in ``gone`` (columns ``on``, never null).
+
+    ``on`` gives the key's columns as expressions over ``df``.  Only rows that the bitmap
+    cannot clear are joined, so most of a wide table is not shuffled.
+    """
+    names = list(on)
+    flags = table(df.sparkSession, build(gone.select(F.xxhash64(*names).alias("_at")), "_at"))
+    marked = look_up(df.withColumns(on), flags, F.xxhash64(*names), "_maybe")
+    rest = marked.filter("_maybe").join(gone.select(*names), names, "left_anti")
+    return marked.filter("not _maybe").select(*df.columns).unionByName(rest.select(*df.columns))
+
+
 # bits of the map of hash values, and how many of them make one piece of it
 MAP_BITS, PIECE_BITS = 28, 17
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankspark.llm import bitmap
 from rankspark.llm.columns import (
     BASE,
     U64,
@@ -169,16 +170,16 @@ def _verify_task(ratio: float, least: int):
     def work(frames):
         for frame in frames:
             out = []
-            for doc_id, item_id, diagonal, text, item in zip(
-                frame["doc_id"], frame["item_id"], frame["diagonal"], frame["words"], frame["item_words"], strict=True
+            for key, doc_id, item_id, diagonal, text, item in zip(
+                frame["doc_key"], frame["doc_id"], frame["item_id"], frame["diagonal"], frame["words"], frame["item_words"], strict=True
             ):
                 a, b = max(0, diagonal), min(len(text), diagonal + len(item))
                 start, end, matched = best_stretch(text[a:b] == item[a - diagonal : b - diagonal], ratio)
                 if end - start >= min(least, len(item)) and end > start:
                     out.append(
-                        (doc_id, item_id, a + start, a + end, a + start - diagonal, matched, matched / (end - start))
+                        (key, doc_id, item_id, a + start, a + end, a + start - diagonal, matched, matched / (end - start))
                     )
-            names = [part.split()[0] for part in FOUND.split(", ")]
+            names = ["doc_key", *(part.split()[0] for part in FOUND.split(", "))]
             import pandas as pd
 
             result = pd.DataFrame(out, columns=names)
@@ -187,6 +188,10 @@ def _verify_task(ratio: float, least: int):
     return work
 
 
+def _row_key(own: str):
+    return F.xxhash64(F.col(own).cast("long"), F.col("text").cast("string"))
+
+
 def overlaps(
     docs: DataFrame,
     items: DataFrame,
@@ -204,9 +209,18 @@ def overlaps(
     or empty texts match nothing; null ids stay null; rows that repeat give one result
     per id; empty tables give no rows.
     """
+    order = Window.partitionBy("doc_id", "item_id").orderBy(
+        F.desc("n_matched"), F.desc("similarity"), "start_word", "item_start"
+    )
+    checked = _checked(docs, items, masks, ratio, least).drop("doc_key")
+    return checked.withColumn("n", F.row_number().over(order)).filter("n = 1").drop("n")
+
+
+def _checked(docs: DataFrame, items: DataFrame, masks: tuple[str, ...], ratio: float, least: int) -> DataFrame:
+    """All verified diagonals (``FOUND``) with the key of the row they are in."""
     spark = docs.sparkSession
     key = lambda df, name, own: df.select(
-        F.xxhash64(F.col(own).cast("long"), F.col("text").cast("string")).alias(name),
+        _row_key(own).alias(name),
         F.col("text").cast("string").alias("text"),
         F.col(own).cast("long").alias(own),
     )
@@ -245,21 +259,20 @@ def overlaps(
     named = item_words.join(tests.select("item_key", "item_id"), "item_key")
     pairs = lookup_join(diagonals, named, ["item_key"], spread="doc_key", small_fits=False)
     texts = hits.select("doc_key", "doc_id", "words").dropDuplicates(["doc_key"])
-    checked = (
+    return (
         pairs.join(texts, "doc_key")
-        .select("doc_id", "item_id", "diagonal", "words", "item_words")
-        .mapInPandas(_verify_task(ratio, least), FOUND)
-    )
-    order = Window.partitionBy("doc_id", "item_id").orderBy(
-        F.desc("n_matched"), F.desc("similarity"), "start_word", "item_start"
+        .select("doc_key", "doc_id", "item_id", "diagonal", "words", "item_words")
+        .mapInPandas(_verify_task(ratio, least), "doc_key long, " + FOUND)
     )
-    return checked.withColumn("n", F.row_number().over(order)).filter("n = 1").drop("n")
-
 
-def without_overlaps(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of a test item, all columns kept.
 
-    Rows without an id cannot be told apart by it and are matched null-safely.
-    """
-    found = overlaps(docs, items, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_found"]), "left_anti")
+def without_overlaps(
+    docs: DataFrame,
+    items: DataFrame,
+    masks: tuple[str, ...] = MASKS,
+    ratio: float = 0.8,
+    least: int = 13,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of a test item, all columns kept."""
+    found = _checked(docs, items, masks, ratio, least).select(F.col("doc_key").alias("_key")).distinct()
+    return bitmap.without(docs, keep(found, "decontaminate-found"), {"_key": _row_key("doc_id")})

@@ -6,11 +6,11 @@ earlier (smaller doc_id, or same text and earlier place).
 1. Every window of ``length`` bytes names the least hash among its k-grams (its anchor).
    Equal windows have equal anchors at equal offsets, so windows that may repeat share an
    anchor value; about one k-gram in 35 is an anchor.
-2. Anchors that occur once are passed over.  For the others the stretch of text that
-   holds all windows of the anchor is put out; equal stretches are counted once, and all
-   but the first occurrence of a stretch are repeats as a whole.
-3. Where one anchor value has several different stretches, their suffixes are sorted
-   shard by shard and the shards' transforms merged (:mod:`rankspark.llm.bwt`), which
+2. Anchors that occur once are passed over.  For the others the place of the stretch of
+   text that holds all windows of the anchor is put out, with its hash; all but the first
+   occurrence of a stretch are repeats as a whole.
+3. Where one anchor value has several different stretches, the bytes of the first
+   occurrences are fetched, their suffixes are sorted shard by shard and the shards' transforms merged (:mod:`rankspark.llm.bwt`), which
    gives the intervals of equal windows.  A value with very many stretches is split by
    the contents of its windows.
 4. The spans found are joined with their texts and cut out.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankspark.llm import bitmap, bwt
-from rankspark.llm.columns import BASE, U64, chunks, mix, text_bytes
+from rankspark.llm.columns import BASE, MIX_B, U64, chunks, mix, powers, text_bytes
 from rankspark.session import keep
 
 GRAM = 32
@@ -102,8 +102,27 @@ def _anchor_task(length: int):
     return work
 
 
-def _stretch_task(sent, length: int):
-    """The stretches of repeated anchors."""
+def stretch_keys(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches raw[begin:end], which may overlap, from sums over all bytes."""
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + U64(1)) * powers(BASE, len(raw)), out=total[1:])
+    back = powers(U64(pow(int(BASE), -1, 2**64)), len(raw))
+    return mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64) * MIX_B)
+
+
+def identity(anchor: np.ndarray, key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    place = mix(doc.view(np.uint64) * BASE + at.astype(np.uint64))
+    return mix(key.view(np.uint64) + mix(anchor.view(np.uint64) ^ place))
+
+
+def _identity_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = identity(*(batch.column(i).to_numpy() for i in range(4)))
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["value"])
+
+
+def _stretch_task(sent, length: int, firsts=None):
+    """The places of the stretches of repeated anchors; with ``firsts`` the bytes of those in that map."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,22 +135,26 @@ def _stretch_task(sent, length: int):
                 hit = np.flatnonzero(bitmap.maps(sent.value, value))
                 if not len(hit):
                     continue
-                value, first, last, text = value[hit], first[hit], last[hit], text[hit]
-                size = last - first + length
+                value, first, end, text = value[hit], first[hit], last[hit] + length, text[hit]
+                key = stretch_keys(part, first, end)
+                at = (first - (offsets[a + text] - lo)).astype(np.int32)
+                own = doc[a + text]
+                if firsts is None:
+                    columns = [value.view(np.int64), key.view(np.int64), own, content[a + text], at, (end - first).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays(
+                        list(map(pa.array, columns)), ["anchor", "key", "doc", "content", "at", "width"]
+                    )
+                    continue
+                hit = np.flatnonzero(bitmap.maps(firsts.value, identity(value, key, own, at)))
+                size = end[hit] - first[hit]
                 bounds = np.concatenate([[0], np.cumsum(size)])
-                inside = np.arange(bounds[-1]) + np.repeat(first - bounds[:-1], size)
+                inside = np.arange(bounds[-1]) + np.repeat(first[hit] - bounds[:-1], size)
                 data = pa.Array.from_buffers(
                     pa.binary(),
                     len(hit),
                     [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(part[inside])],
                 )
-                columns = [
-                    pa.array(value.view(np.int64)),
-                    data,
-                    pa.array(doc[a + text]),
-                    pa.array(content[a + text]),
-                    pa.array((first - (offsets[a + text] - lo)).astype(np.int32)),
-                ]
+                columns = [pa.array(value[hit].view(np.int64)), data, *map(pa.array, (own[hit], content[a + text[hit]], at[hit]))]
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "stretch", "doc", "content", "at"])
 
     return work
@@ -199,25 +222,20 @@ def _merge_task(length: int):
     return work
 
 
-def cell_table(stretches: DataFrame, length: int) -> DataFrame:
-    """(cell, stretch, doc, content, at) of anchor values with several different stretches.
+def cell_table(stretches: DataFrame, split: DataFrame, length: int) -> DataFrame:
+    """(cell, stretch, doc, content, at): the stretches of an anchor value, or parts of them.
 
-    A value with more than MOST_WINDOWS windows is dealt out window by window, by a hash
-    of the window: equal windows still meet, and no task has to hold the whole value.
+    ``split`` holds (anchor, parts) of values with more than MOST_WINDOWS windows.  They
+    are dealt out window by window, by a hash of the window: equal windows still meet, and
+    no task has to hold the whole value.
     """
     windows = F.octet_length("stretch") - (length - 1)
-    sizes = (
-        stretches.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(windows).alias("windows"))
-        .filter("n > 1")
-        .select("anchor", F.ceil(F.col("windows") / MOST_WINDOWS).cast("int").alias("parts"))
-    )
-    several = stretches.join(sizes, "anchor")
+    dealt = stretches.join(split, "anchor", "left")
     columns = ["doc", "content", "at"]
-    whole = several.filter("parts = 1").select(F.col("anchor").alias("cell"), "stretch", *columns)
+    whole = dealt.filter("parts is null").select(F.col("anchor").alias("cell"), "stretch", *columns)
     start = F.explode(F.sequence(F.lit(0), windows - 1)).alias("start")
     single = (
-        several.filter("parts > 1")
+        dealt.filter("parts is not null")
         .select("anchor", "parts", "stretch", *columns, start)
         .select(
             "anchor",
@@ -267,26 +285,38 @@ def repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         .select("anchor")
     )
     sent = spark.sparkContext.broadcast(bitmap.value_map(repeated, "anchor"))
-    found = texts.mapInArrow(
-        _stretch_task(sent, length), "anchor long, stretch binary, doc long, content long, at int"
-    )
-    found = keep(found.withColumn("key", F.xxhash64("stretch")), "suffix-stretches")
+    places = "anchor long, key long, doc long, content long, at int, width int"
+    found = keep(texts.mapInArrow(_stretch_task(sent, length), places), "suffix-places")
     place = F.struct("doc", "content", "at")
     distinct = keep(
-        found.groupBy("anchor", "stretch", "key")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .select("anchor", "stretch", "key", "n", "first.*"),
+        found.groupBy("anchor", "key")
+        .agg(F.min(place).alias("first"), F.first("width").alias("width"), F.count(F.lit(1)).alias("n"))
+        .select("anchor", "key", "width", "n", "first.*"),
         "suffix-distinct",
     )
     firsts = distinct.filter("n > 1").select("anchor", "key", F.struct("doc", "content", "at").alias("first"))
-    width = F.octet_length("stretch").cast("int")
     later = (
-        found.select("anchor", "key", "doc", "content", "at", (F.col("at") + width).alias("end"))
-        .join(firsts, ["anchor", "key"])
+        found.join(firsts, ["anchor", "key"])
         .filter(place != F.col("first"))
-        .select("doc", "content", F.col("at").alias("start"), "end")
+        .select("doc", "content", F.col("at").alias("start"), (F.col("at") + F.col("width")).alias("end"))
+    )
+    # anchors with several stretches: the first occurrence of each goes on with its bytes
+    several = (
+        distinct.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("stretches"), F.sum(F.col("width") - (length - 1)).alias("windows"))
+        .filter("stretches > 1")
+        .select("anchor", "windows")
+    )
+    chosen = distinct.join(several, "anchor").select("anchor", "key", "doc", "at")
+    firsts_map = bitmap.value_map(chosen.mapInArrow(_identity_task, "value long"), "value")
+    bytes_of = texts.mapInArrow(
+        _stretch_task(sent, length, spark.sparkContext.broadcast(firsts_map)),
+        "anchor long, stretch binary, doc long, content long, at int",
+    )
+    split = several.filter(F.col("windows") > MOST_WINDOWS).select(
+        "anchor", F.ceil(F.col("windows") / MOST_WINDOWS).cast("int").alias("parts")
     )
-    dealt = cell_table(distinct, length).repartition("cell").sortWithinPartitions("cell", "doc", "content", "at")
+    dealt = cell_table(bytes_of, split, length).repartition("cell").sortWithinPartitions("cell", "doc", "content", "at")
     merged = dealt.mapInArrow(_merge_task(length), "doc long, content long, start int, end int")
     return later.unionByName(merged)
 
@@ -356,12 +386,29 @@ def strip_repeats(docs: DataFrame, length: int = 100, keep_text: bool = True) ->
         .distinct()
     )
     cuts = keep(spans.join(copies, ["_doc", "_content"], "full"), "suffix-spans")
-    joined = rows.join(cuts, ["_doc", "_content"], "left").select(
-        F.col("_text").cast("binary").alias("_text"),
-        F.coalesce("_copy", F.lit(False)).alias("_copy"),
-        "_spans",
+    # texts without spans need no join; the bitmap tells most of them apart
+    cut_places = cuts.select(F.xxhash64("_doc", "_content").alias("_at"))
+    flags = bitmap.table(rows.sparkSession, bitmap.build(cut_places, "_at"))
+    marked = bitmap.look_up(rows, flags, F.xxhash64("_doc", "_content"), "_maybe")
+    joined = (
+        marked.filter("_maybe")
+        .join(cuts, ["_doc", "_content"], "left")
+        .select(
+            F.col("_text").cast("binary").alias("_text"),
+            F.coalesce("_copy", F.lit(False)).alias("_copy"),
+            "_spans",
+            *out.columns,
+        )
+    )
+    zero = F.lit(0).cast("long")
+    clean = marked.filter("not _maybe").select(
         *out.columns,
+        F.octet_length("_text").cast("long").alias("n_bytes"),
+        zero.alias("n_removed"),
+        zero.alias("n_spans"),
+        F.sha2("_text", 256).alias("kept_sha256"),
+        *([F.col("_text").cast("binary").alias("kept")] if keep_text else []),
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-    return joined.mapInArrow(_cut_task(out.columns, keep_text), schema)
+    return joined.mapInArrow(_cut_task(out.columns, keep_text), schema).unionByName(clean)
