@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 # The word-break classes.  A word is a run of letters, digits,
 # marks and underscores holding at least one letter or digit; a joiner stays
 # inside a word only between letters, or between digits; ideographs and
-# hiragana stand alone; a word longer than 255 characters is cut every 255.
+# hiragana stand alone; a word longer than 255 characters is cut every 255; an
+# emoji is a word, with its modifiers and with what a zero-width joiner ties to it.
 IDEOGRAPHS = r"぀-ゟ㐀-䶿一-鿿豈-﫿\x{20000}-\x{3FFFF}"
 WORD_CHAR = rf"[\p{{L}}\p{{N}}\p{{M}}_&&[^{IDEOGRAPHS}]]"
 WORD_START = rf"_*+[\p{{L}}\p{{N}}&&[^{IDEOGRAPHS}]]"
 LETTER_JOINER = r"[.:·'’](?<=[\p{L}\p{M}_].)(?=[\p{L}_])"
 DIGIT_JOINER = r"[.,;'’](?<=\p{N}.)(?=\p{N})"
+FLAG = r"[\x{1F1E6}-\x{1F1FF}]{2}"
+PICTURE = (
+    r"[\x{1F000}-\x{1F1E5}\x{1F200}-\x{1F3FA}\x{1F400}-\x{1FAFF}"
+    r"\x{231A}\x{231B}\x{23E9}-\x{23F3}\x{2600}-\x{27BF}\x{2B50}\x{2B55}]"
+    r"[\x{FE0E}\x{FE0F}\x{1F3FB}-\x{1F3FF}]*+"
+)
 WORD = (
     rf"{WORD_START}(?:{WORD_CHAR}|{LETTER_JOINER}|{DIGIT_JOINER}){{0,254}}+"
     rf"|[{IDEOGRAPHS}]\p{{M}}*+"
+    rf"|{FLAG}|{PICTURE}(?:\x{{200D}}{PICTURE})*+"
 )
 LINE_END = r"\r\n|\r|\n"
 
@@ -99,7 +107,8 @@ def token_spans(text: Column) -> Column:
     The text is cut into (gap, word) pieces, so the end of a word is the
     running sum of the piece lengths.
     """
-    piece = rf"((?s:.*?))({WORD})"
+    # anchored to the piece before: behind the last word the search ends at once
+    piece = rf"\G((?s:.*?))({WORD})"
     words = F.regexp_extract_all(text, F.lit(piece), F.lit(2))
     lengths = F.transform(
         F.regexp_extract_all(text, F.lit(piece), F.lit(0)), lambda p: F.length(p)

@@ -1,9 +1,10 @@
 """Sums of doubles that do not depend on row order.
 
-Each addend is turned into a whole number of 1e-11 units and the BIGINTs are
+Each addend is turned into a whole number of 1e-11 units and the numbers are
 added.  A task that is run again, or a shuffle that delivers rows in another
-order, therefore gives the same score and the same ranking.  Overflow raises
-under ANSI mode instead of wrapping.
+order, therefore gives the same score and the same ranking.  ``exact_sum`` adds
+decimals of 38 digits; ``units`` gives BIGINTs for the sums of scoring, and an
+addend that does not fit raises, in ANSI mode or not.
 """
 
 from __future__ import annotations
@@ -12,12 +13,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNIT = 1e11
+# Below this an addend's units fit into a BIGINT.
+FITS = 9.2e7
 RANK_DIGITS = 9
 SHOWN_DIGITS = 6
 
 
 def units(x: Column) -> Column:
-    return F.floor(x * F.lit(UNIT) + F.lit(0.5)).cast("bigint")
+    inside = F.floor(x * F.lit(UNIT) + F.lit(0.5)).cast("bigint")
+    problem = F.raise_error(F.concat(F.lit("addend too large for a score: "), x.cast("string")))
+    return F.when(x.isNull() | (F.abs(x) < FITS), inside).otherwise(problem.cast("bigint"))
+
+
+def total_units(x: Column) -> Column:
+    """Sum of BIGINT units; a sum that leaves their range raises."""
+    whole = F.try_sum(x)
+    problem = F.raise_error(F.lit("sum of scores leaves the range of BIGINT"))
+    return F.when(whole.isNull() & (F.count(x) > 0), problem.cast("bigint")).otherwise(whole)
 
 
 def from_units(name: str) -> Column:
@@ -26,7 +38,10 @@ def from_units(name: str) -> Column:
 
 
 def exact_sum(x: Column) -> Column:
-    return F.sum(units(x)) / F.lit(UNIT)
+    small = F.floor(x * F.lit(UNIT) + F.lit(0.5)).cast("bigint").cast("decimal(28,0)")
+    large = (x * F.lit(UNIT)).cast("decimal(28,0)")
+    addend = F.when(x.isNull() | (F.abs(x) < FITS), small).otherwise(large)
+    return F.sum(addend).cast("double") / F.lit(UNIT)
 
 
 def rank_key(x: Column) -> Column:

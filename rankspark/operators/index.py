@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
-from rankspark.session import BROADCAST_ROWS, SALT, fits, lookup_join
+from rankspark.session import BROADCAST_ROWS, SALT, fits, keep, lookup_join
 
 FIELDS = ("contents", "top5_lines", "bottom5_lines")
 BUCKET_BYTES = 256 << 20
@@ -35,7 +35,6 @@ MANIFEST = (
 )
 HEAVY_TERMS = BROADCAST_ROWS
 POINT_KEYS = 2_000
-MAX_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -223,15 +222,21 @@ def _save(
 
 
 def default_buckets(docs: DataFrame) -> int:
-    """About ``BUCKET_BYTES`` of input per bucket, and no fewer buckets than cores.
+    """About ``BUCKET_BYTES`` of text per bucket, and no fewer buckets than cores.
 
-    The size is the optimizer's estimate from the files behind ``docs``; an
-    estimate it does not have (a huge default) is not used.
+    The texts are measured, so what they were joined with does not count.
     """
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    by_size = -(-size // BUCKET_BYTES) if size < 1 << 60 else 0
+    text = "text" if "text" in docs.columns else "contents"
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    return min(max(cores, by_size), MAX_BUCKETS)
+    return max(cores, -(-size // BUCKET_BYTES))
+
+
+def _refuse_repeated_keys(docs: DataFrame) -> None:
+    """Raises if a key stands twice; the table is bucketed on it, so nothing is shuffled."""
+    twice = docs.groupBy("doc_id").count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"doc_id {twice[0].doc_id!r} occurs {twice[0]['count']} times; keys must be unique")
 
 
 def _write_version(
@@ -241,10 +246,13 @@ def _write_version(
     path: str,
     version: int,
     doc_stats: DataFrame | None = None,
+    unique: bool = True,
 ) -> None:
     buckets, fields, stopwords, positions = plan
     spark = docs.sparkSession
     docs = _save(docs, path, version, "docs", buckets, ["doc_id"])
+    if unique:
+        _refuse_repeated_keys(docs)
     postings = _save(
         make_postings(docs), path, version, "postings", buckets, ["field", "term", "doc_id"]
     )
@@ -283,11 +291,12 @@ def write_index(
     """Indexes ``docs`` (``doc_id``, ``text``, any further columns) at ``path``.
 
     ``create`` replaces what is there and adds every row; ``doc_id`` must then be
-    unique.  ``append`` (the index must exist) and ``create_or_append`` replace
+    unique, and a repeated key raises.  ``append`` (the index must exist) and ``create_or_append`` replace
     documents that have the same ``doc_id`` and keep the others; of several
-    copies inside ``docs`` the last by the column ``order_by`` wins (any one of
-    them without that column).  An index that exists keeps the fields,
-    stop words and layout it was made with.  Each call writes a new version
+    copies inside ``docs`` the last by the column ``order_by`` wins, of equal ones
+    the largest by all columns.  An index that exists keeps the fields and stop
+    words it was made with, and its buckets unless ``buckets`` says otherwise.
+    The batch is written once and everything is built from that.  Each call writes a new version
     folder, so a reader of the previous version, or a failed job, never sees a
     half-written table.
     """
@@ -300,13 +309,16 @@ def write_index(
     version = last[0].version + 1 if last else 0
     updating = bool(last) and mode != "create"
     if updating:
-        buckets, fields, stopwords, positions = last[0][1:]
+        kept_buckets, fields, stopwords, positions = last[0][1:]
+        buckets = buckets or kept_buckets
     buckets = buckets or default_buckets(docs)
     plan = (buckets, list(fields), list(stopwords), positions)
     if mode != "create":
         docs = _last_copies(docs, order_by)
     if order_by:
         docs = docs.drop(order_by)
+    if updating:
+        docs = keep(docs, "batch")
     batch = describe(by_document(docs, buckets))
 
     def analysed(stored: DataFrame, bucketed: bool) -> DataFrame:
@@ -329,16 +341,14 @@ def write_index(
 
 
 def _last_copies(docs: DataFrame, order_by: str | None) -> DataFrame:
-    """One row per doc_id: the last by ``order_by``.
+    """One row per doc_id: the last by ``order_by``, of equal ones the largest by all columns.
 
-    ``max_by`` combines before the shuffle, so a key with a great many copies
-    sends one row per task.
+    ``max`` combines before the shuffle, so a key with a great many copies sends one
+    row per task.
     """
-    if order_by is None:
-        return docs.dropDuplicates(["doc_id"])
-    row = F.struct(*docs.columns)
-    best = docs.groupBy("doc_id").agg(F.max_by(row, F.col(order_by)).alias("row"))
-    return best.select("row.*")
+    row = F.struct(*([order_by] if order_by else []), F.struct(*docs.columns).alias("row"))
+    best = docs.groupBy("doc_id").agg(F.max(row).alias("best"))
+    return best.select("best.row.*")
 
 
 def _without(df: DataFrame, keys: DataFrame) -> DataFrame:
@@ -419,7 +429,7 @@ def write_merged(
     _write_version(
         by_document(merged.docs, buckets),
         lambda _: by_document(merged.postings, buckets),
-        plan, path, last[0].version + 1 if last else 0, merged.doc_stats,
+        plan, path, last[0].version + 1 if last else 0, merged.doc_stats, unique=False,
     )
     return open_index(spark, path)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
-from rankspark.functions.exact import from_units, units
+from rankspark.functions.exact import from_units, total_units, units
 from rankspark.functions.scoring import Model
 from rankspark.operators.index import (
     Index,
@@ -65,7 +65,7 @@ def scores(
 
     Documents that match with score 0 are kept.
     """
-    sums = [F.sum(units(m.contribution())).alias(name) for name, m in models.items()]
+    sums = [total_units(units(m.contribution())).alias(name) for name, m in models.items()]
     summed = matches(index, terms, field).groupBy("topic_id", "doc_id").agg(*sums)
     return summed.select("topic_id", "doc_id", *[from_units(name).alias(name) for name in models])
 

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a side may hold to be sent whole to every executor.
+# Rows, and bytes by the schema's row size, that a side sent whole to every executor may hold.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 # Copies of the small side in a salted join.
 SALT = 32
 
@@ -17,10 +18,17 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a new local one only if none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's checkpoint folder.
+
+    The setting ``spark.checkpoint.dir`` comes first, then a folder set on the context.
+    Only a session on one machine gets a new local folder if neither is set.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = "file:" + tempfile.mkdtemp(prefix="rankspark-")
@@ -32,8 +40,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads no more than that)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows and about ``BROADCAST_BYTES`` bytes.
+
+    Counted by task; no rows are moved.
+    """
+    width = max(1, df._jdf.schema().defaultSize())
+    return df.count() <= min(max_rows, BROADCAST_BYTES // width)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,63 @@ def plain_path(uri: Column) -> Column:
     return F.regexp_replace(decoded, "^file:(?://)?(?=/)", "")
 
 
+def _hidden(name: str) -> bool:
+    return name.startswith((".", "_")) and not (name.startswith("_") and "=" in name)
+
+
+def _passed_over(spark: SparkSession, roots: Sequence[str]) -> DataFrame | None:
+    """(file_path, plain, ms, file_size) of files that ``spark.read`` leaves out; None if there are none.
+
+    The driver lists names only, as it does for every read; tasks read the contents.
+    """
+    jvm = spark._jvm
+    conf, rows = spark._jsc.hadoopConfiguration(), []
+    for root in roots:
+        start = jvm.org.apache.hadoop.fs.Path(root)
+        fs = start.getFileSystem(conf)
+        top = fs.makeQualified(start).toUri().getPath()
+        listed = fs.listFiles(start, True)
+        while listed.hasNext():
+            status = listed.next()
+            uri, size = status.getPath().toUri(), status.getLen()
+            below = uri.getPath()[len(top) :] or uri.getPath().rpartition("/")[2]
+            # checksums are the local file system's own
+            if size and not any(map(_hidden, below.split("/"))):
+                continue
+            rows.append((uri.toString(), uri.getPath(), status.getModificationTime(), size))
+    if not rows:
+        return None
+    return spark.createDataFrame(rows, "file_path STRING, plain STRING, ms BIGINT, file_size BIGINT")
+
+
+def _read_others(found: DataFrame) -> DataFrame:
+    """Their contents, read in batches by the tasks."""
+    read = found.mapInPandas(
+        _read_batches, "value STRING, file_path STRING, ms BIGINT, file_size BIGINT"
+    )
+    return read.select(
+        "value", "file_path", F.timestamp_millis("ms").alias("file_modification_time"), "file_size"
+    )
+
+
+def _read_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    def content(uri: str, plain: str, size: int) -> str:
+        if not size:
+            return ""
+        if uri.startswith(("file:", "/")):
+            store, path = fs.LocalFileSystem(), plain
+        else:
+            store, path = fs.FileSystem.from_uri(uri)
+        with store.open_input_stream(path) as stream:
+            return stream.read().decode("utf-8", "replace")
+
+    for frame in frames:
+        texts = [content(*row) for row in zip(frame["file_path"], frame["plain"], frame["file_size"], strict=True)]
+        yield frame.drop(columns="plain").assign(value=texts)[["value", "file_path", "ms", "file_size"]]
+
+
 def scan_tree(
     spark: SparkSession, roots: Sequence[str] | str, extensions: Sequence[str] | None = None
 ) -> DataFrame:
@@ -25,18 +83,24 @@ def scan_tree(
     the path.  With ``extensions`` a file is kept if its path has no dot or
     ends, from the last dot of the whole path on, in a listed extension (such
     as ``.txt``, case-sensitive); a root that is itself a file is always kept.
-    Unlisted files are dropped before they are opened, and Spark's file listing
-    leaves out files of zero bytes.  The two provenance
-    columns stand for the host and thread that read the file.
+    Unlisted files are dropped before they are opened.  Files that Spark's readers
+    pass over (of zero bytes, or below a name that begins with ``_`` or ``.``) are
+    found by a listing of their own and read in batches.  The two provenance columns
+    stand for the host and thread that read the file.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
     files = spark.read.text(roots, wholetext=True, recursiveFileLookup=True).select(
-        "value", "_metadata.*"
+        "value", "_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size"
     )
     path = plain_path(F.col("file_path"))
+    wanted = F.lit(True)
     if extensions is not None:
         single = [r.removeprefix("file://").removeprefix("file:") for r in roots]
-        files = files.filter(analysis.has_extension(path, extensions) | path.isin(single))
+        wanted = analysis.has_extension(path, extensions) | path.isin(single)
+        files = files.filter(wanted)
+    others = _passed_over(spark, roots)
+    if others is not None:
+        files = files.unionByName(_read_others(others.filter(wanted)))
     return files.select(
         path.alias("doc_id"),
         path.alias("path"),

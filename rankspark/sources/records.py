@@ -6,6 +6,8 @@ by many tasks.  A last record without its separator is kept.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,43 +19,82 @@ TOPIC_END = "/"
 JUDGEMENT_END = "   /"
 
 
-def scan_records(spark: SparkSession, path: str, end: str, newline: str = "\n") -> DataFrame:
-    """(id, lines): records whose first line is a whole number.
-
-    ``newline`` is the file's line end; a file written with CR LF needs
-    ``"\\r\\n"``.
+def line_end(spark: SparkSession, path: str, sniff: int = 1 << 16) -> str:
+    """The line end of a file, or of the first file of a folder, from its first bytes."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = fs.listFiles(place, True)
+    while listed.hasNext():
+        status = listed.next()
+        if not status.getLen() or status.getPath().getName().startswith(("_", ".")):
+            continue
+        stream = fs.open(status.getPath())
+        try:
+            head = bytes(stream.readNBytes(sniff))
+        finally:
+            stream.close()
+        found = re.search(rb"\r\n|\r|\n", head)
+        if found:
+            # a CR that ends the bytes looked at may belong to a CR LF
+            return found.group().decode()
+    return "\n"
+
+
+def scan_records(spark: SparkSession, path: str, end: str, newline: str | None = None) -> DataFrame:
+    """(id, lines): the first line of each record as it stands, without outer blanks.
+
+    ``newline`` is the files' line end; by default it is looked up in the first of them.
+    Records without an id line (the blank rest of a file) are none.
     """
+    newline = newline or line_end(spark, path)
     raw = spark.read.option("lineSep", f"{newline}{end}{newline}").text(path)
     # the last separator of a file may lack its line end
     record = F.regexp_replace("value", rf"\r?\n\Q{end}\E\z", "")
     parts = raw.select(F.split(record, analysis.LINE_END, -1).alias("parts"))
     return parts.select(
-        F.trim(F.get("parts", 0)).try_cast("bigint").alias("id"),
+        F.trim(F.get("parts", 0)).alias("id"),
         F.slice("parts", 2, F.size("parts")).alias("lines"),
-    ).filter(F.col("id").isNotNull())
+    ).filter((F.col("id") != "") | (F.size("lines") > 1))
+
+
+def _typed(name: str, kind: str) -> Column:
+    """``name`` as ``kind``; a value that is none raises, in ANSI mode or not."""
+    value = F.col(name).try_cast(kind)
+    problem = F.raise_error(F.concat(F.lit(f"not a {kind}: "), F.col(name))).cast(kind)
+    return F.when(value.isNull() & F.col(name).isNotNull(), problem).otherwise(value)
 
 
 def _joined() -> Column:
     return F.array_join(F.transform("lines", lambda line: F.concat(line, F.lit(" "))), "")
 
 
-def scan_documents(spark: SparkSession, path: str, newline: str = "\n") -> DataFrame:
-    """(doc_id, text): body lines, each followed by one space."""
+def scan_documents(
+    spark: SparkSession, path: str, newline: str | None = None, id_type: str = "bigint"
+) -> DataFrame:
+    """(doc_id, text): body lines, each followed by one space.
+
+    An id that is not of ``id_type`` raises; ``"string"`` takes every id.
+    """
     records = scan_records(spark, path, DOCUMENT_END, newline)
-    return records.select(F.col("id").alias("doc_id"), _joined().alias("text"))
+    return records.select(_typed("id", id_type).alias("doc_id"), _joined().alias("text"))
 
 
-def scan_topics(spark: SparkSession, path: str, newline: str = "\n") -> DataFrame:
-    """(topic_id, text): body lines, each followed by one space."""
+def scan_topics(
+    spark: SparkSession, path: str, newline: str | None = None, id_type: str = "bigint"
+) -> DataFrame:
+    """(topic_id, text): body lines, each followed by one space; ids as in ``scan_documents``."""
     records = scan_records(spark, path, TOPIC_END, newline)
-    return records.select(F.col("id").alias("topic_id"), _joined().alias("text"))
+    return records.select(_typed("id", id_type).alias("topic_id"), _joined().alias("text"))
 
 
-def scan_qrels(spark: SparkSession, path: str, newline: str = "\n") -> DataFrame:
+def scan_qrels(
+    spark: SparkSession, path: str, newline: str | None = None, id_type: str = "bigint"
+) -> DataFrame:
     """(topic_id, doc_id): every number in the body; other words are ignored."""
     records = scan_records(spark, path, JUDGEMENT_END, newline)
     words = records.select(
-        F.col("id").alias("topic_id"), F.explode(F.split(_joined(), r"\s+")).alias("word")
+        _typed("id", id_type).alias("topic_id"), F.explode(F.split(_joined(), r"\s+")).alias("word")
     )
     return (
         words.filter(F.col("word").rlike("^[0-9]+$"))

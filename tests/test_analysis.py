@@ -1,10 +1,12 @@
 import random
+import time
 
 import pytest
 import regex
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
+from rankspark.functions.exact import exact_sum, total_units, units
 
 # an independent statement of the word rule, character by character
 
@@ -106,3 +108,26 @@ def test_extension_rule(spark):
     df = spark.createDataFrame([(p,) for p in paths], "path STRING")
     kept = df.filter(analysis.has_extension(F.col("path"), [".txt", ".sgm"])).collect()
     assert [r.path for r in kept] == ["plain/noext", "x/f.sgm", "c.txt"]
+
+
+def test_emoji_are_words(spark):
+    text = "ok ☃ 👍🏽👩‍👩‍👧 🇩🇪🇫🇷x ©"
+    got = spark.createDataFrame([(text,)], "t STRING").select(analysis.tokens(F.col("t"))).first()[0]
+    assert got == ["ok", "☃", "👍🏽", "👩‍👩‍👧", "🇩🇪", "🇫🇷", "x"]
+
+
+def test_offsets_of_a_long_tail_are_quick(spark):
+    text = "word " + "-" * 200_000
+    start = time.time()
+    spans = spark.createDataFrame([(text,)], "t STRING").select(analysis.token_spans(F.col("t"))).first()[0]
+    assert [tuple(s) for s in spans] == [("word", 0, 4)] and time.time() - start < 20
+
+
+def test_exact_sums_of_large_numbers(spark):
+    df = spark.createDataFrame([(1e8,), (3e8,), (0.25,)] + [(8e7,)] * 3, "x DOUBLE")
+    assert df.select(exact_sum(F.col("x"))).first()[0] == 6.4e8 + 0.25
+    with pytest.raises(Exception, match="too large"):
+        df.select(total_units(units(F.col("x")))).first()
+    near = df.filter("x < 9e7")
+    with pytest.raises(Exception, match="range of BIGINT|verflow"):
+        near.select(total_units(units(F.col("x")))).first()

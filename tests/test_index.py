@@ -125,3 +125,25 @@ def test_open_without_the_session_table(spark, micro):
     for name in ("postings", "docs"):
         plan = getattr(again, name).groupBy("doc_id").count()._jdf.queryExecution().toString()
         assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_repeated_keys_raise(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b c")], DOC)
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        ix.write_index(docs, fresh_folder(spark, "twice"), buckets=2)
+
+
+def test_update_takes_new_buckets_and_breaks_ties(spark):
+    path = fresh_folder(spark, "rebucket")
+    ix.write_index(spark.createDataFrame(MICRO, DOC), path, buckets=1)
+    batch = spark.createDataFrame([(2, "copy a", 1), (2, "copy b", 1)], DOC + ", seq INT")
+    index = ix.write_index(batch, path, mode="append", order_by="seq", buckets=3)
+    assert contents(index)[2] == "copy b\n"
+    assert ix._manifest(spark, path)[0].buckets == 3
+    assert {r.term for r in index.postings.filter("doc_id = 2").collect()} == {"copy", "b"}
+
+
+def test_buckets_go_by_the_text(spark):
+    docs = spark.createDataFrame(MICRO, DOC)
+    twice = docs.join(docs.select("doc_id", F.lit(1).alias("x")), "doc_id")
+    assert ix.default_buckets(twice) == ix.default_buckets(docs)

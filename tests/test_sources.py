@@ -32,8 +32,7 @@ def test_scan_tree(spark, tree):
     root, texts = tree
     got = files.scan_tree(spark, [f"{root}/one", f"{root}/two"]).collect()
     by_path = {os.path.relpath(r.path, root): r for r in got}
-    # Spark lists no file of zero bytes
-    assert set(by_path) == set(texts) - {"two/empty.txt"}
+    assert set(by_path) == set(texts)
     for name, r in by_path.items():
         assert r.text == texts[name]
         assert r.size_kb == len(texts[name].encode()) / 1000
@@ -74,8 +73,11 @@ def write(tmp_path, name, text):
 
 def test_documents_file(spark, tmp_path):
     text = "1\nalpha beta\ngamma\n   /\n2\nbeta delta\n   /\n3\n   /\nx\nno number\n   /\n4\na\n\n   /\n"
-    got = rows(records.scan_documents(spark, write(tmp_path, "doc-text", text)).orderBy("doc_id"))
-    assert got == [(1, "alpha beta gamma "), (2, "beta delta "), (3, ""), (4, "a  ")]
+    path = write(tmp_path, "doc-text", text)
+    got = rows(records.scan_documents(spark, path, id_type="string").orderBy("doc_id"))
+    assert got == [("1", "alpha beta gamma "), ("2", "beta delta "), ("3", ""), ("4", "a  "), ("x", "no number ")]
+    whole = write(tmp_path, "numbers", text.replace("x\n", "5\n"))
+    assert rows(records.scan_documents(spark, whole).orderBy("doc_id"))[-1] == (5, "no number ")
 
 
 def test_last_separator_without_line_end_and_crlf(spark, tmp_path):
@@ -109,3 +111,26 @@ def test_a_split_file_gives_whole_records(spark, tmp_path):
         assert sorted(rows(got)) == sorted((i, f"word{i} tail ") for i in range(2000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_scan_tree_reads_every_file(spark, tmp_path):
+    (tmp_path / "ok").mkdir()
+    (tmp_path / "_sub").mkdir()
+    (tmp_path / ".hid").mkdir()
+    texts = {"a.txt": "a", "_u.txt": "ü\n", "_sub/y.txt": "y", ".h.txt": "h", ".hid/z.txt": "z", "empty.txt": "", "ok/b.txt": "b"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    got = {r.path.removeprefix(f"{tmp_path}/"): r for r in files.scan_tree(spark, str(tmp_path)).collect()}
+    assert {k: r.text for k, r in got.items()} == texts
+    assert got["empty.txt"].size_kb == 0 and all(r.modified > 0 for r in got.values())
+    assert {r.path for r in files.scan_tree(spark, str(tmp_path), [".md"]).collect()} == set()
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\r"])
+def test_records_take_every_line_end_and_id(spark, tmp_path, newline):
+    text = newline.join(["A-1", "alpha beta", "   /", "2", "gamma", "", "delta", "   /", ""])
+    path = write(tmp_path, "any-end", text)
+    got = rows(records.scan_documents(spark, path, id_type="string").orderBy("doc_id"))
+    assert got == [("2", "gamma  delta "), ("A-1", "alpha beta ")]
+    with pytest.raises(Exception, match="not a bigint: A-1"):
+        records.scan_documents(spark, path).collect()
