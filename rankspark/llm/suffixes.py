@@ -230,26 +230,23 @@ def cell_table(stretches: DataFrame, split: DataFrame, length: int) -> DataFrame
     no task has to hold the whole value.
     """
     windows = F.octet_length("stretch") - (length - 1)
-    dealt = stretches.join(split, "anchor", "left")
-    columns = ["doc", "content", "at"]
-    whole = dealt.filter("parts is null").select(F.col("anchor").alias("cell"), "stretch", *columns)
-    start = F.explode(F.sequence(F.lit(0), windows - 1)).alias("start")
-    single = (
-        dealt.filter("parts is not null")
-        .select("anchor", "parts", "stretch", *columns, start)
+    # the first window and the bytes of each part: the whole stretch, or every window
+    starts = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), windows - 1))
+    width = F.when(F.col("parts").isNull(), F.octet_length("stretch")).otherwise(F.lit(length))
+    part = F.substring("stretch", F.col("start") + 1, F.col("width"))
+    by_content = F.xxhash64("anchor", F.pmod(F.xxhash64("part"), F.col("parts")))
+    return (
+        stretches.join(split, "anchor", "left")
+        .select("anchor", "parts", "stretch", "doc", "content", "at", width.alias("width"), F.explode(starts).alias("start"))
+        .select("anchor", "parts", part.alias("part"), "doc", "content", (F.col("at") + F.col("start")).alias("at"))
         .select(
-            "anchor",
-            "parts",
-            F.expr(f"substring(stretch, start + 1, {length})").alias("stretch"),
+            F.when(F.col("parts").isNull(), F.col("anchor")).otherwise(by_content).alias("cell"),
+            F.col("part").alias("stretch"),
             "doc",
             "content",
-            (F.col("at") + F.col("start")).alias("at"),
-        )
-        .select(
-            F.xxhash64("anchor", F.pmod(F.xxhash64("stretch"), F.col("parts"))).alias("cell"), "stretch", *columns
+            "at",
         )
     )
-    return whole.unionByName(single)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
