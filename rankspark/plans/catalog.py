@@ -71,6 +71,11 @@ def _tree(docs: DataFrame, label: str) -> str:
     return root
 
 
+def _documents_of(scanned):
+    """Without the marker file that Spark's writer leaves in a finished folder."""
+    return scanned.filter(F.contains("path", F.lit("/doc_id=")))
+
+
 def _key_in_path():
     return F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
 
@@ -79,7 +84,7 @@ def _key_in_path():
 def file_scan(spark, sf):
     """Writes every document as a file and reads the tree back."""
     root = _tree(table(spark, sf, "documents"), "tree")
-    scanned = files.scan_tree(spark, root)
+    scanned = _documents_of(files.scan_tree(spark, root))
     return scanned.select(
         _key_in_path(), "size_kb", analysis.normalized(F.col("text")).alias("contents")
     )
@@ -90,7 +95,7 @@ def multi_root_scan(spark, sf):
     docs = table(spark, sf, "documents")
     english = _tree(docs.filter(F.col("lang") == "en"), "english")
     other = _tree(docs.filter(F.col("lang") != "en"), "other")
-    scanned = files.scan_tree(spark, [english, other])
+    scanned = _documents_of(files.scan_tree(spark, [english, other]))
     root = F.when(F.contains("path", F.lit("/english-")), "english").otherwise("other")
     return scanned.select(root.alias("root"), _key_in_path(), "size_kb")
 
@@ -216,9 +221,12 @@ def size_kb(spark, sf):
 
 @query
 def provenance(spark, sf):
-    """Source file, its time stamp and the partition that read each document."""
+    """Name of each document's source file, and whether its time stamp and partition are known."""
     return raw_documents(spark, sf).select(
-        "doc_id", "source_file", "modified", F.spark_partition_id().alias("partition")
+        "doc_id",
+        F.regexp_extract("source_file", "[^/]+$", 0).alias("source_name"),
+        (F.col("modified") > 0).alias("dated"),
+        (F.spark_partition_id() >= 0).alias("placed"),
     )
 
 

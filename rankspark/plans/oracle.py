@@ -383,6 +383,7 @@ ORACLE: dict[str, str] = {
     "head_lines": _sql("SELECT doc_id, top5_lines FROM d3"),
     "tail_lines": _sql("SELECT doc_id, bottom5_lines FROM d3"),
     "normalize_lines": _sql("SELECT doc_id, contents FROM docs"),
+    "provenance": "SELECT doc_id, 'documents.parquet' AS source_name, true AS dated, true AS placed FROM documents",
     "size_kb": _sql("SELECT doc_id, round(size_kb, 6) AS size_kb FROM docs"),
     "keyword_filter": _sql(
         f"SELECT doc_id, path, contents FROM docs WHERE path = '{cat.KEYWORD_PATH}'"

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -23,6 +24,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("rankspark-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", "file:" + tempfile.mkdtemp(prefix="rankspark-tests-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
