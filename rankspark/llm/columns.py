@@ -159,7 +159,7 @@ def window_minima(values: np.ndarray, first: np.ndarray, width: int) -> np.ndarr
     return np.flatnonzero(chosen)
 
 
-def chunks(offsets: np.ndarray, most: int = 1 << 21):
+def chunks(offsets: np.ndarray, most: int = 1 << 19):
     """(from, to) ranges of texts that together hold about ``most`` bytes (one text at least)."""
     at, n = 0, len(offsets) - 1
     while at < n:

@@ -169,9 +169,9 @@ def learn(
     return Model(languages, masks, orders)
 
 
-def language_counts(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def language_counts(model: Model, rates: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Corrected number of n-grams per text and language."""
-    n_texts, rates = len(offsets) - 1, model.false_rates()
+    n_texts = len(offsets) - 1
     out = np.zeros((n_texts, len(model.languages)))
     for order in model.orders:
         codes, first = ngrams(raw, offsets, order)
@@ -192,13 +192,14 @@ def language_counts(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.nd
 def _predict_task(sent):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
+        rates = model.false_rates()
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
             raw, offsets = text_bytes(batch.column(0))
             letters = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.full(len(letters), len(model.languages)), np.zeros(len(letters))
             for a, b in chunks(offsets) if model.languages else ():
-                counts = language_counts(model, raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                counts = language_counts(model, rates, raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 first = counts.argmax(axis=1)
                 top = counts[np.arange(b - a), first]
                 counts[np.arange(b - a), first] = 0

@@ -43,7 +43,7 @@ def _code_classes(upto: int = 0x250) -> tuple[np.ndarray, np.ndarray]:
 class WordIds:
     """Encodes chunks of texts; keeps up to ``most_words`` words between chunks."""
 
-    def __init__(self, path: str, most_words: int = 1_500_000):
+    def __init__(self, path: str, most_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -113,7 +113,11 @@ class WordIds:
         return starts[keep], ends[keep]
 
     def learn(self, words: list[bytes]) -> None:
-        """Adds distinct words; one call of the tokenizer for all of them."""
+        """Adds distinct words, some thousands to a call of the tokenizer."""
+        for at in range(0, len(words), 10_000):
+            self._learn_some(words[at : at + 10_000])
+
+    def _learn_some(self, words: list[bytes]) -> None:
         texts = [w.decode() for w in words]
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         owner = np.array(found.word_ids, np.int64)

@@ -48,7 +48,7 @@ def test_lookups_return_all_languages(spark):
     rates = model.false_rates()
     assert len(rates) == 3 and (rates < 0.01).all()
     raw = np.frombuffer(b"schung", np.uint8)
-    counts = language.language_counts(model, raw, np.array([0, 6]))
+    counts = language.language_counts(model, rates, raw, np.array([0, 6]))
     assert model.languages[counts[0].argmax()] == "bb"
 
 
