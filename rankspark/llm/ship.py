@@ -1,4 +1,8 @@
-"""Hands this package to the Python workers of a session that was started without it."""
+"""Hands this package to the Python workers of a session that was started without it.
+
+Also bounds the Arrow batches between Spark and the workers: texts are long, and a batch
+of the usual 10,000 rows of them takes up to 100 MB in each of several buffers.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+BATCH_ROWS = 1000
 _shipped: set[str] = set()
 
 
@@ -16,6 +21,7 @@ def ship_package(spark: SparkSession) -> None:
 
     Spark copies the file to every executor; it does not have to lie in a shared folder.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
