@@ -36,6 +36,9 @@ from rankspark.session import keep, lookup_join
 
 # Six of nine to twelve words each, so that no two replaced words hide all masks.
 MASKS = ("111111", "111010011", "11010001101", "10110010011")
+# Items of SHORTEST to SHORT - 1 words are cut into one block more than words may be
+# replaced, so that one block is always whole; blocks are their only seeds.
+SHORTEST, SHORT = 3, 14
 BITMAP_BITS = 24
 PROBES = 3
 
@@ -70,22 +73,41 @@ def text_words(batch_column, a: int, b: int, raw: np.ndarray, offsets: np.ndarra
     return segment_hashes(text, starts, ends), first
 
 
-def _item_task(masks):
+def blocks(n: int, ratio: float) -> list[tuple[int, int]]:
+    """(start, words) of the blocks of an item of ``n`` words."""
+    parts = min(n, n - int(np.ceil(ratio * n - 1e-9)) + 1)
+    bounds = [k * n // parts for k in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _item_task(masks, ratio: float):
+    starts = {(n, *block) for n in range(SHORTEST, SHORT) for block in blocks(n, ratio)}
+    sizes = sorted({size for _, _, size in starts})
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
             for a, b in chunks(offsets):
                 hashes, first = text_words(batch.column(1), a, b, raw, offsets)
-                rows = [[], [], []]
-                for mask in masks:
+                rows = [[], [], [], []]
+                for mask, size in [*((mask, 0) for mask in masks), *(("1" * size, size) for size in sizes)]:
                     seeds, at = seed_hashes(hashes, first, mask)
                     owner = np.searchsorted(first, at, side="right") - 1
-                    rows[0].append(owner + a)
-                    rows[1].append(seeds.view(np.int64))
-                    rows[2].append(at - first[owner])
-                owner, seeds, at = map(np.concatenate, rows)
+                    n, place = first[owner + 1] - first[owner], at - first[owner]
+                    chosen = n >= SHORT
+                    if size:
+                        chosen = np.zeros(len(n), bool)
+                        for k in np.flatnonzero(n < SHORT):
+                            chosen[k] = (int(n[k]), int(place[k]), size) in starts
+                    rows[0].append(owner[chosen] + a)
+                    rows[1].append(seeds[chosen].view(np.int64))
+                    rows[2].append(place[chosen])
+                    rows[3].append(np.full(int(chosen.sum()), size, np.int32))
+                owner, seeds, at, block = map(np.concatenate, rows)
                 keys = batch.column(0).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(seeds), pa.array(at)], ["item_key", "seed", "item_at"])
+                yield pa.RecordBatch.from_arrays(
+                    [keys, pa.array(seeds), pa.array(at), pa.array(block)], ["item_key", "seed", "item_at", "block"]
+                )
 
     return work
 
@@ -175,7 +197,9 @@ def _verify_task(ratio: float, least: int):
             ):
                 a, b = max(0, diagonal), min(len(text), diagonal + len(item))
                 start, end, matched = best_stretch(text[a:b] == item[a - diagonal : b - diagonal], ratio)
-                if end - start >= min(least, len(item)) and end > start:
+                # a stretch may lack its outer words: it counts by its matches
+                fits = len(item) <= least or b - a >= least
+                if fits and matched and matched >= ratio * min(least, len(item)) - 1e-9:
                     out.append(
                         (key, doc_id, item_id, a + start, a + end, a + start - diagonal, matched, matched / (end - start))
                     )
@@ -205,7 +229,8 @@ def overlaps(
     Words are parted by white space, A-Z in lower case.  One row per (doc_id, item_id):
     the stretch with most equal words among those of at least ``least`` words (or the
     whole item, if it has fewer) of which ``ratio`` agree; of equal ones the earliest.
-    Items shorter than the shortest mask have no seeds and are not searched for.  Null
+    Given are the places from its first to its last equal word.  Items of fewer than
+    SHORTEST words are not searched for; those of fewer than SHORT are never missed.  Null
     or empty texts match nothing; null ids stay null; rows that repeat give one result
     per id; empty tables give no rows.
     """
@@ -226,8 +251,12 @@ def _checked(docs: DataFrame, items: DataFrame, masks: tuple[str, ...], ratio: f
     )
     tests = key(items, "item_key", "item_id").dropDuplicates(["item_key"])
     seeds = keep(
-        tests.mapInArrow(_item_task(masks), "item_key long, seed long, item_at long"), "decontaminate-seeds"
+        tests.mapInArrow(_item_task(masks, ratio), "item_key long, seed long, item_at long, block int"),
+        "decontaminate-seeds",
     )
+    # no more than SHORT lengths; most tables have no short items and need no more masks
+    used = sorted(row.block for row in seeds.filter("block > 0").select("block").distinct().collect())
+    seeds = seeds.drop("block")
     # at most 2**BITMAP_BITS / 64 rows, whatever the size of the test table
     word_of = lambda k: F.shiftrightunsigned(F.col("seed"), k * 20).bitwiseAND((1 << BITMAP_BITS) - 1)
     bits = seeds.select(F.explode(F.array(*[word_of(k) for k in range(PROBES)])).alias("bit"))
@@ -241,7 +270,7 @@ def _checked(docs: DataFrame, items: DataFrame, masks: tuple[str, ...], ratio: f
         bitmap[slot] = mask
     sent = spark.sparkContext.broadcast(bitmap.astype("<i8").tobytes())
     scanned = key(docs, "doc_key", "doc_id").mapInArrow(
-        _scan_task(masks, sent),
+        _scan_task((*masks, *("1" * size for size in used)), sent),
         "doc_key long, doc_id long, words array<long>, seeds array<long>, places array<long>",
     )
     hits = keep(scanned, "decontaminate-hits")

@@ -45,3 +45,27 @@ def test_planted_items(spark, docs):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["100", "101", "102", "103", "104", "200", "201", "202", "203"])
     assert decontaminate.overlaps(table.limit(0), tests).count() == 0
     assert decontaminate.overlaps(docs, tests.limit(0)).count() == 0
+
+
+def test_short_items_with_replaced_words(spark):
+    rng = random.Random(19)
+    items, rows = [], []
+    for n in range(3, 14):
+        words = invent(rng, n).split()
+        items.append((n, " ".join(words)))
+        for k in range(n if n >= 5 else 0):
+            own = [*words[:k], "other", *words[k + 1 :]]
+            rows.append((100 * n + k, " ".join([invent(rng, 9), *own, invent(rng, 9)])))
+        rows.append((100 * n + 50, " ".join(words)))
+        # more words replaced than the share allows
+        far = [w if k % 3 else "other" for k, w in enumerate(words)]
+        rows.append((100 * n + 60, " ".join([invent(rng, 9), *far])))
+    both = list(items[7][1].split())
+    both[0] = both[9] = "other"
+    rows.append((1070, " ".join([invent(rng, 9), *both, invent(rng, 9)])))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(table, tests).collect()}
+    assert got == {(i, i // 100) for i, _ in rows if i % 100 != 60}
+    left = decontaminate.without_overlaps(table, tests).collect()
+    assert {r.doc_id for r in left} == {100 * n + 60 for n in range(3, 14)}
