@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.llm import nearest as nn
-from rankspark.llm import decontaminate, greedy, jaccard, language, packing, passages, suffixes, toxicity, warc
+from rankspark.llm import (
+    audit,
+    centroids,
+    decontaminate,
+    greedy,
+    jaccard,
+    language,
+    packing,
+    passages,
+    suffixes,
+    tokenstore,
+    toxicity,
+    warc,
+)
 from rankspark.llm.ship import ship_package
 from rankspark.session import fresh_folder
 
@@ -62,6 +75,21 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "token-store")
+    tokenstore.write(table(spark, sf_dir, "documents"), folder)
+    return tokenstore.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_threshold_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return audit.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_filters": op2_language_filters,
@@ -73,4 +101,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_collinear_passages": op8_collinear_passages,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op11_token_store": op11_token_store,
+    "op12_threshold_centroids": op12_threshold_centroids,
+    "op13_filter_audit": op13_filter_audit,
 }
