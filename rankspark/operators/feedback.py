@@ -9,30 +9,31 @@ from rankspark.functions import analysis
 from rankspark.functions.exact import exact_sum, rank_key
 from rankspark.functions.scoring import Model
 from rankspark.operators.evaluate import judged, topic_metrics
-from rankspark.operators.index import Index, at_documents, with_term_statistics
+from rankspark.operators.index import IDENTITY, Index, at_documents, with_term_statistics
 from rankspark.operators.retrieve import search
 from rankspark.operators.weights import tfidf
 from rankspark.session import fits, keep
 
 
 def feedback_docs(run: DataFrame, qrels: DataFrame, s: int) -> DataFrame:
-    """(topic_id, doc_id, score, place): the first s relevant documents of a run."""
+    """(topic_id, doc_id, copy_no, score, place): the first s relevant documents of a run."""
     order = Window.partitionBy("topic_id").orderBy("rank")
     return (
         judged(run, qrels)
         .filter(F.col("relevant") == 1)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= s)
-        .select("topic_id", "doc_id", "score", "place")
+        .select("topic_id", *[c for c in IDENTITY if c in run.columns], "score", "place")
     )
 
 
 def term_values(index: Index, chosen: DataFrame, field: str = "contents") -> DataFrame:
     """(topic_id, term, value): sum of tf-idf times document score over ``chosen``."""
     rows = index.postings.filter(F.col("field") == field).select(
-        "field", "doc_id", "term", "tf"
+        "field", *IDENTITY, "term", "tf"
     )
-    picked = at_documents(rows, chosen.select("topic_id", "doc_id", "score"))
+    own = [c for c in IDENTITY if c in chosen.columns]
+    picked = at_documents(rows, chosen.select("topic_id", *own, "score"))
     # the chosen documents' terms are few: bring df to them
     vectors = keep(picked, "feedback-vectors")
     return (

@@ -1,5 +1,14 @@
 """The index: documents, postings and statistics as tables.
 
+Segments.  An index is a list of segments, named by its manifest.  A segment holds the
+documents of one write.  An update adds a segment with its batch only, and a table of the
+keys it withdraws from the segments before; readers leave those rows out.  Statistics are
+signed sums, one folder per write.  A merge names the segments of its parts and copies
+nothing.  ``compact_index`` puts the live rows of all segments into one.
+
+Identity.  A row is a document of its own even if its ``doc_id`` occurs more than once:
+``copy_no`` counts the rows of a key, and everything is grouped and joined by both.
+
 Layout.  Documents are hash-distributed by ``doc_id`` before they are
 analysed, so counting a document's words needs no second shuffle.  The written
 ``postings`` are bucketed by ``doc_id`` and sorted by (field, term, doc_id)
@@ -16,34 +25,43 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
 from rankspark.session import BROADCAST_ROWS, SALT, fits, keep, lookup_join
 
 FIELDS = ("contents", "top5_lines", "bottom5_lines")
+IDENTITY = ("doc_id", "copy_no")
 BUCKET_BYTES = 256 << 20
 TERM_STATS = "field STRING, term STRING, df BIGINT, cf BIGINT, sum_tf2 BIGINT"
+TERM_BOUNDS = "field STRING, term STRING, max_tf BIGINT, max_rate DOUBLE, min_len BIGINT"
 FIELD_STATS = (
     "field STRING, n_docs BIGINT, n_docs_with_field BIGINT, sum_cf BIGINT, "
     "n_terms BIGINT, n_postings BIGINT"
 )
 MANIFEST = (
-    "version INT, buckets INT, fields ARRAY<STRING>, stopwords ARRAY<STRING>, "
-    "positions BOOLEAN"
+    "version INT, buckets INT, fields ARRAY<STRING>, stopwords ARRAY<STRING>, positions BOOLEAN, "
+    "segments ARRAY<STRUCT<folder: STRING, buckets: INT, first_copy: BIGINT, copies: BIGINT, "
+    "hidden: ARRAY<STRUCT<folder: STRING, keys: BIGINT, buckets: INT>>>>, statistics ARRAY<STRING>"
 )
+# Copies of a key within one segment; parts of a merge begin at multiples of it.
+COPIES = 1 << 32
 HEAVY_TERMS = BROADCAST_ROWS
 POINT_KEYS = 2_000
 
 
 @dataclass(frozen=True)
 class Index:
+    """Tables of an index; ``manifest`` is there if they were written."""
+
     docs: DataFrame
     postings: DataFrame
     doc_stats: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    term_bounds: DataFrame
+    manifest: Row | None = None
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -62,15 +80,27 @@ def by_document(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions, "doc_id") if partitions else df.repartition("doc_id")
 
 
+def identified(df: DataFrame) -> DataFrame:
+    """``df`` with ``copy_no``: as it stands, or 0 where every row has a key of its own."""
+    return df if "copy_no" in df.columns else df.withColumn("copy_no", F.lit(0).cast("bigint"))
+
+
+def number_copies(docs: DataFrame) -> DataFrame:
+    """Counts the rows of each ``doc_id`` from 0 in ``copy_no``; the numbers follow the texts."""
+    text = "text" if "text" in docs.columns else "contents"
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(text))
+    return docs.withColumn("copy_no", F.row_number().over(order).cast("bigint") - 1)
+
+
 def field_tokens(
     docs: DataFrame, fields: Sequence[str] = ("contents",), stopwords: Sequence[str] = ()
 ) -> DataFrame:
-    """(field, doc_id, tokens): one row per document and field."""
+    """(field, doc_id, copy_no, tokens): one row per document and field."""
     texts = F.array(
         *[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields]
     )
-    return docs.select("doc_id", F.inline(texts)).select(
-        "field", "doc_id", analysis.tokens(F.col("text"), stopwords).alias("tokens")
+    return identified(docs).select(*IDENTITY, F.inline(texts)).select(
+        "field", *IDENTITY, analysis.tokens(F.col("text"), stopwords).alias("tokens")
     )
 
 
@@ -82,13 +112,13 @@ def build_postings(
     bucketed: bool = False,
     positions: bool = False,
 ) -> DataFrame:
-    """(field, term, doc_id, tf, doc_len) and, if asked for, positions.
+    """(field, term, doc_id, copy_no, tf, doc_len) and, if asked for, positions.
 
     No ranking reads the positions, and collecting them more than doubles the
     time of this step, so they are optional.  The texts are distributed by ``doc_id`` first, unless they come from a
     table ``bucketed`` that way; the grouping then finds its rows in place.
     """
-    texts = docs.select("doc_id", *fields)
+    texts = identified(docs).select(*IDENTITY, *fields)
     if not bucketed:
         texts = by_document(texts, partitions)
     counted = field_tokens(texts, fields, stopwords).withColumn(
@@ -97,12 +127,12 @@ def build_postings(
     # the outer form, because for the inner one the optimizer infers a filter
     # that runs the analysis a second time
     words = counted.select(
-        "field", "doc_id", "doc_len", F.posexplode_outer("tokens").alias("pos", "term")
+        "field", *IDENTITY, "doc_len", F.posexplode_outer("tokens").alias("pos", "term")
     ).filter(F.col("term").isNotNull())
     columns = [F.count("*").alias("tf"), F.max("doc_len").alias("doc_len")]
     if positions:
         columns.append(F.sort_array(F.collect_list("pos")).alias("positions"))
-    return words.groupBy("field", "term", "doc_id").agg(*columns)
+    return words.groupBy("field", "term", *IDENTITY).agg(*columns)
 
 
 def token_positions(docs: DataFrame, field: str = "contents") -> DataFrame:
@@ -120,21 +150,24 @@ def token_positions(docs: DataFrame, field: str = "contents") -> DataFrame:
 def document_statistics(
     docs: DataFrame, postings: DataFrame, fields: Sequence[str]
 ) -> DataFrame:
-    """(field, doc_id, doc_len, n_terms), documents without words included."""
-    every = docs.select("doc_id", F.explode(F.array(*map(F.lit, fields))).alias("field"))
-    counted = postings.groupBy("field", "doc_id").agg(
-        F.sum("tf").alias("doc_len"), F.count("*").alias("n_terms")
+    """(field, doc_id, copy_no, doc_len, n_terms), documents without words included.
+
+    Every document comes in once with nothing counted, so no join is needed; where both
+    tables are bucketed alike, nothing is shuffled.
+    """
+    none = F.lit(0).cast("bigint")
+    every = identified(docs).select(
+        *IDENTITY, F.explode(F.array(*map(F.lit, fields))).alias("field"), none.alias("tf"), none.alias("n")
     )
-    return every.join(counted, ["doc_id", "field"], "left").select(
-        "field",
-        "doc_id",
-        F.coalesce("doc_len", F.lit(0)).alias("doc_len"),
-        F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+    words = postings.select(*IDENTITY, "field", "tf", F.lit(1).cast("bigint").alias("n"))
+    counted = every.union(words).groupBy("field", *IDENTITY).agg(
+        F.sum("tf").alias("doc_len"), F.sum("n").alias("n_terms")
     )
+    return counted.select("field", *IDENTITY, "doc_len", "n_terms")
 
 
-def term_statistics(postings: DataFrame) -> DataFrame:
-    """(field, term, df, cf, sum_tf2).
+def _term_table(postings: DataFrame) -> DataFrame:
+    """Statistics and score bounds of each (field, term).
 
     The per-task partial aggregation leaves at most one row per term and task,
     so a term that occurs everywhere is no hot key.
@@ -143,9 +176,21 @@ def term_statistics(postings: DataFrame) -> DataFrame:
         F.count("*").alias("df"),
         F.sum("tf").alias("cf"),
         F.sum(F.col("tf") * F.col("tf")).alias("sum_tf2"),
+        F.max("tf").alias("max_tf"),
+        F.max(F.col("tf") / F.col("doc_len")).alias("max_rate"),
+        F.min("doc_len").alias("min_len"),
     )
 
 
+STATS_COLUMNS = [c.split()[0] for c in TERM_STATS.split(", ")]
+BOUNDS_COLUMNS = [c.split()[0] for c in TERM_BOUNDS.split(", ")]
+
+
+def term_statistics(postings: DataFrame) -> DataFrame:
+    """(field, term, df, cf, sum_tf2)."""
+    return _term_table(postings).select(*STATS_COLUMNS)
+
+
 def field_statistics(doc_stats: DataFrame, term_stats: DataFrame) -> DataFrame:
     """One row per field: n_docs, n_docs_with_field, sum_cf, n_terms, n_postings."""
     per_doc = doc_stats.groupBy("field").agg(
@@ -172,15 +217,28 @@ def build_index(
     partitions: int | None = None,
     positions: bool = False,
 ) -> Index:
-    """An index over ``docs``, whose ``doc_id`` must be unique; nothing is run yet."""
-    postings = build_postings(docs, fields, stopwords, partitions, positions=positions)
+    """An index over ``docs``; rows with an equal ``doc_id`` are documents of their own.
+
+    Nothing is run yet.
+    """
+    docs = number_copies(by_document(docs, partitions))
+    # distributed already, and the numbering keeps the distribution
+    postings = build_postings(docs, fields, stopwords, partitions, True, positions)
     return _with_statistics(docs, postings, fields)
 
 
 def _with_statistics(docs: DataFrame, postings: DataFrame, fields: Sequence[str]) -> Index:
     doc_stats = document_statistics(docs, postings, fields)
-    term_stats = term_statistics(postings)
-    return Index(docs, postings, doc_stats, term_stats, field_statistics(doc_stats, term_stats))
+    terms = _term_table(postings)
+    term_stats = terms.select(*STATS_COLUMNS)
+    return Index(
+        docs,
+        postings,
+        doc_stats,
+        term_stats,
+        field_statistics(doc_stats, term_stats),
+        terms.select(*BOUNDS_COLUMNS),
+    )
 
 
 # --- writing, opening, updating -------------------------------------------------
@@ -232,50 +290,70 @@ def default_buckets(docs: DataFrame) -> int:
     return max(cores, -(-size // BUCKET_BYTES))
 
 
-def _refuse_repeated_keys(docs: DataFrame) -> None:
-    """Raises if a key stands twice; the table is bucketed on it, so nothing is shuffled."""
-    twice = docs.groupBy("doc_id").count().filter("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"doc_id {twice[0].doc_id!r} occurs {twice[0]['count']} times; keys must be unique")
+def _repeated_keys(docs: DataFrame) -> bool:
+    """Whether a key stands twice; the table is bucketed on it, so nothing is shuffled."""
+    return bool(docs.groupBy("doc_id").count().filter("count > 1").limit(1).collect())
 
 
-def _write_version(
-    docs: DataFrame,
-    make_postings,
-    plan: tuple,
-    path: str,
-    version: int,
-    doc_stats: DataFrame | None = None,
-    unique: bool = True,
-) -> None:
-    buckets, fields, stopwords, positions = plan
-    spark = docs.sparkSession
-    docs = _save(docs, path, version, "docs", buckets, ["doc_id"])
-    if unique:
-        _refuse_repeated_keys(docs)
+@dataclass(frozen=True)
+class Plan:
+    """How an index analyses and stores: the settings its manifest keeps."""
+
+    buckets: int
+    fields: list[str]
+    stopwords: list[str]
+    positions: bool
+
+    def postings(self, docs: DataFrame, bucketed: bool) -> DataFrame:
+        return build_postings(docs, self.fields, self.stopwords, self.buckets, bucketed, self.positions)
+
+
+def _write_rows(docs: DataFrame, plan: Plan, path: str, version: int, unique: bool) -> tuple:
+    """Documents, postings and document statistics of a batch as one segment.
+
+    ``docs`` must be hash-distributed by ``doc_id`` into the plan's buckets.  Rows with one
+    key are numbered; as they are rare, documents are written as if there were none, and
+    only a batch that has some is written again.
+    """
+    stored = _save(identified(docs), path, version, "docs", plan.buckets, ["doc_id"])
+    if not unique and _repeated_keys(stored):
+        stored = _save(number_copies(docs), path, version, "docs", plan.buckets, ["doc_id"])
     postings = _save(
-        make_postings(docs), path, version, "postings", buckets, ["field", "term", "doc_id"]
+        plan.postings(stored, True), path, version, "postings", plan.buckets, ["field", "term", "doc_id"]
     )
-    if doc_stats is None:
-        doc_stats = document_statistics(docs, postings, fields)
-    doc_stats = _save(
-        by_document(doc_stats, buckets), path, version, "doc_stats", buckets, ["field", "doc_id"]
+    return stored, postings, _write_doc_stats(stored, postings, plan, path, version)
+
+
+def _write_doc_stats(docs: DataFrame, postings: DataFrame, plan: Plan, path: str, version: int) -> DataFrame:
+    told = document_statistics(docs, postings, plan.fields)
+    return _save(told, path, version, "doc_stats", plan.buckets, ["field", "doc_id"])
+
+
+def _write_statistics(terms: DataFrame, totals: DataFrame, folder: str) -> None:
+    terms.sortWithinPartitions("field", "term").write.mode("overwrite").parquet(f"{folder}/term_stats")
+    totals.write.mode("overwrite").parquet(f"{folder}/field_stats")
+
+
+def _first_statistics(postings: DataFrame, doc_stats: DataFrame, folder: str) -> None:
+    spark = postings.sparkSession
+    _term_table(postings).sortWithinPartitions("field", "term").write.mode("overwrite").parquet(
+        f"{folder}/term_stats"
     )
-    root = f"{path}/v{version}"
-    term_statistics(postings).sortWithinPartitions("field", "term").write.mode(
-        "overwrite"
-    ).parquet(f"{root}/term_stats")
-    terms = spark.read.schema(TERM_STATS).parquet(f"{root}/term_stats")
-    field_statistics(doc_stats, terms).write.mode("overwrite").parquet(f"{root}/field_stats")
-    # The manifest row comes last: a version that failed half-way is never opened.
-    words = F.array(*map(F.lit, stopwords)).cast("array<string>")
-    spark.range(1).select(
-        F.lit(version).alias("version"),
-        F.lit(buckets).alias("buckets"),
-        F.array(*map(F.lit, fields)).alias("fields"),
-        words.alias("stopwords"),
-        F.lit(positions).alias("positions"),
-    ).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    terms = spark.read.schema(TERM_STATS).parquet(f"{folder}/term_stats")
+    field_statistics(doc_stats, terms).write.mode("overwrite").parquet(f"{folder}/field_stats")
+
+
+def _publish(
+    spark: SparkSession, path: str, version: int, plan: Plan, segments: list, statistics: list[str]
+) -> Index:
+    """The manifest row comes last: a version that failed half-way is never opened."""
+    row = (version, plan.buckets, plan.fields, plan.stopwords, plan.positions, segments, statistics)
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return open_index(spark, path)
+
+
+def _segment(path: str, version: int, buckets: int, copies: int = 1) -> tuple:
+    return (f"{path}/v{version}", buckets, 0, copies, [])
 
 
 def write_index(
@@ -290,15 +368,17 @@ def write_index(
 ) -> Index:
     """Indexes ``docs`` (``doc_id``, ``text``, any further columns) at ``path``.
 
-    ``create`` replaces what is there and adds every row; ``doc_id`` must then be
-    unique, and a repeated key raises.  ``append`` (the index must exist) and ``create_or_append`` replace
-    documents that have the same ``doc_id`` and keep the others; of several
-    copies inside ``docs`` the last by the column ``order_by`` wins, of equal ones
-    the largest by all columns.  An index that exists keeps the fields and stop
+    ``create`` replaces what is there and adds every row, also rows with one ``doc_id``,
+    which stay documents of their own.  ``append`` (the index must exist) and
+    ``create_or_append`` replace all documents that have the same ``doc_id`` and keep the
+    others; of several copies inside ``docs`` the last by the column ``order_by`` wins, of
+    equal ones the largest by all columns.  An index that exists keeps the fields and stop
     words it was made with, and its buckets unless ``buckets`` says otherwise.
-    The batch is written once and everything is built from that.  Each call writes a new version
-    folder, so a reader of the previous version, or a failed job, never sees a
-    half-written table.
+
+    An update costs what its batch costs: it writes the batch as a new segment, looks up
+    the documents that the batch replaces and takes their statistics off by analysing
+    those alone.  No old posting is read.  Each call writes a new version folder, so a
+    reader of the previous version, or a failed job, never sees a half-written table.
     """
     if mode not in ("create", "append", "create_or_append"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -309,35 +389,77 @@ def write_index(
     version = last[0].version + 1 if last else 0
     updating = bool(last) and mode != "create"
     if updating:
-        kept_buckets, fields, stopwords, positions = last[0][1:]
+        kept_buckets, fields, stopwords, positions = last[0][1:5]
         buckets = buckets or kept_buckets
     buckets = buckets or default_buckets(docs)
-    plan = (buckets, list(fields), list(stopwords), positions)
+    plan = Plan(buckets, list(fields), list(stopwords), positions)
     if mode != "create":
         docs = _last_copies(docs, order_by)
     if order_by:
         docs = docs.drop(order_by)
     if updating:
         docs = keep(docs, "batch")
-    batch = describe(by_document(docs, buckets))
+    batch = describe(by_document(docs.drop("copy_no"), buckets))
+    if updating:
+        return _update(batch, docs.select("doc_id"), plan, path, version)
+    stored, postings, doc_stats = _write_rows(batch, plan, path, version, unique=mode != "create")
+    folder = f"{path}/v{version}"
+    _first_statistics(postings, doc_stats, folder)
+    return _publish(spark, path, version, plan, [_segment(path, version, buckets)], [folder])
 
-    def analysed(stored: DataFrame, bucketed: bool) -> DataFrame:
-        return build_postings(stored, fields, stopwords, buckets, bucketed, positions)
 
-    if not updating:
-        _write_version(batch, lambda stored: analysed(stored, True), plan, path, version)
-        return open_index(spark, path)
-    # only the batch is analysed; postings of untouched documents are copied
+def _update(batch: DataFrame, keys: DataFrame, plan: Plan, path: str, version: int) -> Index:
+    """Adds ``batch`` as a segment and withdraws ``keys`` from those before."""
+    spark, folder = batch.sparkSession, f"{path}/v{version}"
     old = open_index(spark, path)
-    keys = docs.select("doc_id")
-    merged = _without(old.docs, keys).unionByName(batch, allowMissingColumns=True)
-    kept = _without(old.postings, keys)
-    _write_version(
-        by_document(merged, buckets),
-        lambda stored: by_document(kept.unionByName(analysed(batch, False)), buckets),
-        plan, path, version,
+    gone = keep(at_documents(old.docs.select(*IDENTITY, *plan.fields), keys), "withdrawn")
+    _, postings, doc_stats = _write_rows(batch, plan, path, version, unique=True)
+    lost = keep(plan.postings(gone, False), "withdrawn-postings")
+    segments = [tuple(s) for s in old.manifest.segments]
+    n_gone = gone.select("doc_id").distinct().count()
+    if n_gone:
+        hidden = by_document(gone.select("doc_id").distinct(), plan.buckets)
+        _save(hidden, path, version, "hidden", plan.buckets, ["doc_id"])
+        segments = [(*s[:4], [*map(tuple, s[4]), (folder, n_gone, plan.buckets)]) for s in segments]
+    # signed sums: what the batch brings less what it replaces; bounds only ever widen
+    signed = lambda df, sign: df.select(
+        "field", "term", F.lit(sign).alias("sign"), "tf", "doc_len"
     )
-    return open_index(spark, path)
+    both = signed(postings, 1).unionByName(signed(lost, -1))
+    added = F.col("sign") > 0
+    changed = both.groupBy("field", "term").agg(
+        F.sum("sign").cast("bigint").alias("df"),
+        F.sum(F.col("sign") * F.col("tf")).alias("cf"),
+        F.sum(F.col("sign") * F.col("tf") * F.col("tf")).alias("sum_tf2"),
+        F.max(F.when(added, F.col("tf"))).alias("max_tf"),
+        F.max(F.when(added, F.col("tf") / F.col("doc_len"))).alias("max_rate"),
+        F.min(F.when(added, F.col("doc_len"))).alias("min_len"),
+    )
+    changed = keep(changed, "changed-terms")
+    lost_docs = document_statistics(gone, lost, plan.fields)
+    counted = doc_stats.withColumn("sign", F.lit(1)).unionByName(lost_docs.withColumn("sign", F.lit(-1)))
+    per_doc = counted.groupBy("field").agg(
+        F.sum("sign").cast("bigint").alias("n_docs"),
+        F.sum(F.when(F.col("doc_len") > 0, F.col("sign")).otherwise(0)).cast("bigint").alias("n_docs_with_field"),
+        F.sum(F.col("sign") * F.col("doc_len")).alias("sum_cf"),
+        F.sum(F.col("sign") * F.col("n_terms")).alias("n_postings"),
+    )
+    # words that come up or die out: the changed ones held against the statistics before
+    before = old.term_stats.select("field", "term", F.col("df").alias("df_before"))
+    changes = changed.select("field", "term", "df")
+    small = F.broadcast(changes) if fits(changes) else changes
+    known = before.join(small, ["field", "term"])
+    died = known.filter(F.col("df_before") + F.col("df") == 0).groupBy("field").agg((-F.count("*")).alias("n"))
+    born = changes.filter(F.col("df") > 0).groupBy("field").agg(F.count("*").alias("n"))
+    lived = known.filter(F.col("df") > 0).groupBy("field").agg((-F.count("*")).alias("n"))
+    # at most one row per field each
+    moves = died.union(born).union(lived).groupBy("field").agg(F.sum("n").alias("n_terms"))
+    totals = per_doc.join(moves, "field", "left").select(
+        "field", "n_docs", "n_docs_with_field", "sum_cf", F.coalesce("n_terms", F.lit(0)).alias("n_terms"), "n_postings"
+    )
+    _write_statistics(changed, totals, folder)
+    segments.append(_segment(path, version, plan.buckets))
+    return _publish(spark, path, version, plan, segments, [*old.manifest.statistics, folder])
 
 
 def _last_copies(docs: DataFrame, order_by: str | None) -> DataFrame:
@@ -351,9 +473,67 @@ def _last_copies(docs: DataFrame, order_by: str | None) -> DataFrame:
     return best.select("best.row.*")
 
 
-def _without(df: DataFrame, keys: DataFrame) -> DataFrame:
-    keys = F.broadcast(keys) if fits(keys) else keys
-    return df.join(keys, "doc_id", "left_anti")
+def _table(spark: SparkSession, folder: str, part: str, buckets: int, sort: str) -> DataFrame:
+    """A bucketed table of a segment; declared again in a session that does not know it."""
+    path, _, version = folder.rpartition("/v")
+    name = _table_name(path, int(version), part)
+    if not spark.catalog.tableExists(name):
+        columns = spark.read.parquet(f"{folder}/{part}").schema.toDDL()
+        place = f"{folder}/{part}".replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY (doc_id) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+    return spark.table(name)
+
+
+def _live(spark: SparkSession, segment: Row, part: str, sort: str) -> DataFrame:
+    """One table of a segment without the rows of withdrawn keys; the rows stay where they are.
+
+    The manifest knows how many keys were withdrawn: few are broadcast, more are joined
+    in place, since they are bucketed like the rows.
+    """
+    rows = _table(spark, segment.folder, part, segment.buckets, sort)
+    if segment.first_copy:
+        rows = rows.withColumn("copy_no", F.col("copy_no") + F.lit(segment.first_copy))
+    for hidden in segment.hidden:
+        keys = _table(spark, hidden.folder, "hidden", hidden.buckets, "doc_id").select("doc_id")
+        keys = F.broadcast(keys) if hidden["keys"] <= BROADCAST_ROWS else keys.hint("shuffle_hash")
+        rows = rows.join(keys, "doc_id", "left_anti").select(*rows.columns)
+    return rows
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+def _summed_terms(frames: Sequence[DataFrame]) -> DataFrame:
+    """Signed sums per term of several writes; words that no document holds any more are gone."""
+    if len(frames) == 1:
+        return frames[0].select(*STATS_COLUMNS)
+    summed = _union([f.select(*STATS_COLUMNS) for f in frames]).groupBy("field", "term").agg(
+        *[F.sum(c).alias(c) for c in ("df", "cf", "sum_tf2")]
+    )
+    return summed.filter(F.col("df") > 0)
+
+
+def _widest_bounds(frames: Sequence[DataFrame]) -> DataFrame:
+    """Bounds that hold for several writes; those of withdrawn rows only make them wider."""
+    if len(frames) == 1:
+        return frames[0].select(*BOUNDS_COLUMNS)
+    return _union([f.select(*BOUNDS_COLUMNS) for f in frames]).groupBy("field", "term").agg(
+        F.max("max_tf").alias("max_tf"), F.max("max_rate").alias("max_rate"), F.min("min_len").alias("min_len")
+    )
+
+
+def _summed_fields(frames: Sequence[DataFrame]) -> DataFrame:
+    if len(frames) == 1:
+        return frames[0]
+    names = [c.split()[0] for c in FIELD_STATS.split(", ")][1:]
+    return _union(list(frames)).groupBy("field").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
@@ -361,52 +541,82 @@ def open_index(spark: SparkSession, path: str) -> Index:
     last = _manifest(spark, path)
     if not last:
         raise FileNotFoundError(f"no index at {path}")
-    version, buckets = last[0].version, last[0].buckets
-    root = f"{path}/v{version}"
+    manifest = last[0]
 
     def table(part: str, sort: str) -> DataFrame:
-        name = _table_name(path, version, part)
-        if not spark.catalog.tableExists(name):
-            columns = spark.read.parquet(f"{root}/{part}").schema.toDDL()
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-                f"CLUSTERED BY (doc_id) SORTED BY ({sort}) INTO {buckets} BUCKETS "
-                f"LOCATION '{root}/{part}'"
-            )
-        return spark.table(name)
+        return _union([_live(spark, s, part, sort) for s in manifest.segments])
 
+    schema = f"{TERM_STATS}, {TERM_BOUNDS.split(', ', 2)[2]}"
+    terms = [spark.read.schema(schema).parquet(f"{f}/term_stats") for f in manifest.statistics]
+    fields = [spark.read.schema(FIELD_STATS).parquet(f"{f}/field_stats") for f in manifest.statistics]
     return Index(
         docs=table("docs", "doc_id"),
         postings=table("postings", "field, term, doc_id"),
         doc_stats=table("doc_stats", "field, doc_id"),
-        term_stats=spark.read.schema(TERM_STATS).parquet(f"{root}/term_stats"),
-        field_stats=spark.read.schema(FIELD_STATS).parquet(f"{root}/field_stats"),
+        term_stats=_summed_terms(terms),
+        field_stats=_summed_fields(fields),
+        term_bounds=_widest_bounds(terms),
+        manifest=manifest,
     )
 
 
+def compact_index(spark: SparkSession, path: str, buckets: int | None = None) -> Index:
+    """Writes the live rows of all segments as one segment and one set of statistics.
+
+    No text is analysed again.  The folders of earlier versions stay for their readers.
+    """
+    old = open_index(spark, path)
+    last = old.manifest
+    plan = Plan(buckets or last.buckets, list(last.fields), list(last.stopwords), last.positions)
+    return _rewrite(old, plan, path, last.version + 1, _copies(old))
+
+
+def _rewrite(index: Index, plan: Plan, path: str, version: int, copies: int) -> Index:
+    spark, folder = index.docs.sparkSession, f"{path}/v{version}"
+    dealt = lambda df: by_document(df, plan.buckets)
+    _save(dealt(index.docs), path, version, "docs", plan.buckets, ["doc_id"])
+    postings = _save(dealt(index.postings), path, version, "postings", plan.buckets, ["field", "term", "doc_id"])
+    doc_stats = _save(dealt(index.doc_stats), path, version, "doc_stats", plan.buckets, ["field", "doc_id"])
+    _first_statistics(postings, doc_stats, folder)
+    return _publish(spark, path, version, plan, [_segment(path, version, plan.buckets, copies)], [folder])
+
+
+def _copies(part: Index) -> int:
+    """How many numbers, in steps of ``COPIES``, the copies of one key take up in a part."""
+    if part.manifest is None:
+        return 1
+    return max(s.first_copy // COPIES + s.copies for s in part.manifest.segments)
+
+
+def _apart(parts: Sequence[Index]) -> list[int]:
+    """Where the copy numbers of each part begin, so that equal keys of two parts stay apart."""
+    return [COPIES * sum(map(_copies, parts[:i])) for i in range(len(parts))]
+
+
 def merge_indexes(parts: Sequence[Index]) -> Index:
-    """One index from separately built parts; equal keys are not merged.
+    """One index from separately built parts; documents with equal keys stay apart.
 
     Only statistics are re-aggregated (by sum); no text is analysed again.
     """
+    firsts = _apart(parts)
 
     def union(name: str) -> DataFrame:
-        frames = [getattr(p, name) for p in parts]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
+        return _union(
+            [
+                getattr(p, name).withColumn("copy_no", F.col("copy_no") + F.lit(first)) if first else getattr(p, name)
+                for p, first in zip(parts, firsts, strict=True)
+            ]
+        )
 
     doc_stats = union("doc_stats")
-    term_stats = union("term_stats").groupBy("field", "term").agg(
-        *[F.sum(c).alias(c) for c in ("df", "cf", "sum_tf2")]
-    )
+    term_stats = _summed_terms([p.term_stats for p in parts])
     return Index(
         union("docs"),
         union("postings"),
         doc_stats,
         term_stats,
         field_statistics(doc_stats, term_stats),
+        _widest_bounds([p.term_bounds for p in parts]),
     )
 
 
@@ -418,20 +628,34 @@ def write_merged(
 ) -> Index:
     """Writes the merge of ``parts`` at ``path``, replacing what is there.
 
-    ``stopwords`` are those the parts were made with, for later updates.
+    Parts that are written are not copied: the merge names their segments and settings,
+    and only the merged statistics are written.  Their folders must then stay.  Parts that
+    were built with other fields, stop words or positions raise.  Parts that are not
+    written yet are; ``stopwords`` are those they were built with, for later updates.
     """
-    merged = merge_indexes(parts)
-    spark = merged.docs.sparkSession
+    spark = parts[0].docs.sparkSession
     last = _manifest(spark, path)
-    buckets = buckets or default_buckets(merged.docs)
-    fields = sorted(r.field for r in merged.field_stats.select("field").collect())
-    plan = (buckets, fields, list(stopwords), "positions" in merged.postings.columns)
-    _write_version(
-        by_document(merged.docs, buckets),
-        lambda _: by_document(merged.postings, buckets),
-        plan, path, last[0].version + 1 if last else 0, merged.doc_stats, unique=False,
-    )
-    return open_index(spark, path)
+    version = last[0].version + 1 if last else 0
+    merged = merge_indexes(parts)
+    if any(p.manifest is None for p in parts):
+        buckets = buckets or default_buckets(merged.docs)
+        fields = sorted(r.field for r in merged.field_stats.select("field").collect())
+        plan = Plan(buckets, fields, list(stopwords), "positions" in merged.postings.columns)
+        return _rewrite(merged, plan, path, version, sum(map(_copies, parts)))
+    alike = {(tuple(p.manifest.fields), tuple(p.manifest.stopwords), p.manifest.positions) for p in parts}
+    if len(alike) > 1 or (stopwords and list(stopwords) != list(parts[0].manifest.stopwords)):
+        raise ValueError(f"parts with different fields, stop words or positions: {sorted(map(str, alike))}")
+    first = parts[0].manifest
+    plan = Plan(buckets or first.buckets, list(first.fields), list(first.stopwords), first.positions)
+    segments = [
+        (s.folder, s.buckets, s.first_copy + begin, s.copies, [tuple(h) for h in s.hidden])
+        for part, begin in zip(parts, _apart(parts), strict=True)
+        for s in part.manifest.segments
+    ]
+    folder = f"{path}/v{version}"
+    terms = merged.term_stats.join(merged.term_bounds, ["field", "term"], "left")
+    _write_statistics(terms, merged.field_stats, folder)
+    return _publish(spark, path, version, plan, segments, [folder])
 
 
 # --- reading --------------------------------------------------------------------
@@ -449,8 +673,8 @@ def term_vector(index: Index, doc_id, field: str = "contents") -> DataFrame:
 
 
 def term_vectors(index: Index, keys: DataFrame, field: str = "contents") -> DataFrame:
-    """(doc_id, term, tf) for every document named in ``keys``."""
-    rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
+    """(doc_id, copy_no, term, tf) for every document named in ``keys``."""
+    rows = index.postings.filter(F.col("field") == field).select(*IDENTITY, "term", "tf")
     return at_documents(rows, keys.select("doc_id").distinct())
 
 
@@ -509,13 +733,13 @@ def with_term_statistics(
 def join_postings(
     index: Index, small: DataFrame, small_fits: bool, field: str = "contents"
 ) -> DataFrame:
-    """Postings (term, doc_id, tf, doc_len) of a field joined with ``small`` on term.
+    """Postings (term, doc_id, copy_no, tf, doc_len) of a field joined with ``small`` on term.
 
     A small side that fits is broadcast.  Otherwise both sides are shuffled on
     the term, and heavy terms on the term and a salt from the document.
     """
     rows = index.postings.filter(F.col("field") == field).select(
-        "term", "doc_id", "tf", "doc_len"
+        "term", *IDENTITY, "tf", "doc_len"
     )
     if small_fits:
         return rows.join(F.broadcast(small), ["term"])
@@ -538,10 +762,11 @@ def join_postings(
 def at_documents(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of a table bucketed by ``doc_id`` joined with ``keys`` on doc_id.
 
+    Keys that carry ``copy_no`` mean that one row of their id, others mean all.
     Up to ``POINT_KEYS`` distinct keys are also given to the scan as literals,
     so it opens only their buckets; more keys mean one pass over the table.
     """
     ids = keys.select("doc_id").distinct().limit(POINT_KEYS + 1).collect()
     if len(ids) <= POINT_KEYS:
         df = df.filter(F.col("doc_id").isin([r.doc_id for r in ids]))
-    return lookup_join(df, keys, ["doc_id"])
+    return lookup_join(df, keys, [c for c in IDENTITY if c in keys.columns])

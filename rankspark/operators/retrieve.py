@@ -11,6 +11,7 @@ from rankspark.functions import analysis
 from rankspark.functions.exact import from_units, total_units, units
 from rankspark.functions.scoring import Model
 from rankspark.operators.index import (
+    IDENTITY,
     Index,
     at_documents,
     join_postings,
@@ -49,11 +50,11 @@ def matches(index: Index, terms: DataFrame, field: str = "contents") -> DataFram
 
 
 def match_any(index: Index, terms: DataFrame, field: str = "contents") -> DataFrame:
-    """(topic_id, doc_id, n_terms): documents holding at least one topic term."""
+    """(topic_id, doc_id, copy_no, n_terms): documents holding at least one topic term."""
     words = terms.select("topic_id", "term")
     return (
         join_postings(index, words, fits(words), field)
-        .groupBy("topic_id", "doc_id")
+        .groupBy("topic_id", *IDENTITY)
         .agg(F.count("*").alias("n_terms"))
     )
 
@@ -61,19 +62,35 @@ def match_any(index: Index, terms: DataFrame, field: str = "contents") -> DataFr
 def scores(
     index: Index, terms: DataFrame, models: Mapping[str, Model], field: str = "contents"
 ) -> DataFrame:
-    """(topic_id, doc_id, one score column per model) from a single pass.
+    """(topic_id, doc_id, copy_no, one score column per model) from a single pass.
 
     Documents that match with score 0 are kept.
     """
     sums = [total_units(units(m.contribution())).alias(name) for name, m in models.items()]
-    summed = matches(index, terms, field).groupBy("topic_id", "doc_id").agg(*sums)
-    return summed.select("topic_id", "doc_id", *[from_units(name).alias(name) for name in models])
+    summed = matches(index, terms, field).groupBy("topic_id", *IDENTITY).agg(*sums)
+    return summed.select("topic_id", *IDENTITY, *[from_units(name).alias(name) for name in models])
+
+
+# Tasks' shares of a topic's rows when its best are looked for.
+SALTS = 64
 
 
 def top_m(scored: DataFrame, m: int, by: Sequence[str] = ("topic_id",)) -> DataFrame:
-    """Adds ``rank`` and keeps the m best per topic; ties go to the smaller doc_id."""
-    order = Window.partitionBy(*by).orderBy(F.desc("score"), "doc_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= m)
+    """Adds ``rank`` and keeps the m best per topic; ties go to the smaller doc_id.
+
+    Spark drops rows before the shuffle only for m up to a thousand or so.  Beyond, the m
+    best are first taken in each of ``SALTS`` shares of a topic, so that one topic's rows
+    are sorted by many tasks, and the last window sees at most m rows of each share.
+    """
+    order = [F.desc("score"), *[c for c in IDENTITY if c in scored.columns]]
+    limit = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if m > limit:
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+        part = Window.partitionBy(*by, "share").orderBy(*order)
+        shared = scored.withColumn("share", share).withColumn("place", F.row_number().over(part))
+        scored = shared.filter(F.col("place") <= m).drop("share", "place")
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return ranked.filter(F.col("rank") <= m)
 
 
 def search(
@@ -91,4 +108,5 @@ def total_hits(index: Index, terms: DataFrame, field: str = "contents") -> DataF
 def stored_fields(run: DataFrame, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The run with columns of its documents; only those columns are read."""
     run = keep(run, "run")
-    return at_documents(docs.select("doc_id", *columns), run).select(*run.columns, *columns)
+    own = [c for c in IDENTITY if c in run.columns and c in docs.columns]
+    return at_documents(docs.select(*own, *columns), run).select(*run.columns, *columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankspark.functions.exact import rank_key
 from rankspark.operators.index import (
+    IDENTITY,
     Index,
     at_documents,
     join_postings,
@@ -25,42 +26,48 @@ def _cosine(dot: Column, norm_a: Column, norm_b: Column) -> Column:
 def similar_docs(
     index: Index, seeds: DataFrame, scheme: str = "tf", k: int = 10, field: str = "contents"
 ) -> DataFrame:
-    """(seed_id, doc_id, similarity, rank): the k nearest documents of each seed.
+    """(seed_id, seed_copy, doc_id, copy_no, similarity, rank): the k nearest documents of each seed.
 
-    ``seeds`` names documents in ``doc_id``.  The term space is the seed's own,
+    ``seeds`` names documents in ``doc_id``; every copy of a key is a seed.  The term space is the seed's own,
     so a candidate's norm counts shared terms only.  Weights are whole numbers,
     hence all sums are exact.  Candidates without a shared weight are undefined
     and dropped; ties go to the smaller doc_id.
     """
-    rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
+    rows = index.postings.filter(F.col("field") == field).select(*IDENTITY, "term", "tf")
     # the seeds' term vectors are read once and used three times
     vectors = keep(at_documents(rows, seeds.select("doc_id").distinct()), "seed-vectors")
     small = fits(vectors)
     # df travels on the seed side: candidates hold the same terms
     own = with_term_statistics(index, vectors.withColumn("field", F.lit(field)), small).select(
-        F.col("doc_id").alias("seed_id"), "term", "df", "n_docs", weight(scheme).alias("seed_w")
-    )
+        F.col("doc_id").alias("seed_id"),
+        F.col("copy_no").alias("seed_copy"),
+        "term",
+        "df",
+        "n_docs",
+        weight(scheme).alias("seed_w"),
+    )
+    seed = ["seed_id", "seed_copy"]
     norms = (
-        own.groupBy("seed_id")
+        own.groupBy(*seed)
         .agg(F.sum(F.col("seed_w") * F.col("seed_w")).alias("norm_a"))
         .filter(F.col("norm_a") > 0)
     )
     shared = join_postings(index, own, small, field).filter(
-        F.col("doc_id") != F.col("seed_id")
+        (F.col("doc_id") != F.col("seed_id")) | (F.col("copy_no") != F.col("seed_copy"))
     )
     w = weight(scheme)
-    pairs = shared.groupBy("seed_id", "doc_id").agg(
+    pairs = shared.groupBy(*seed, *IDENTITY).agg(
         F.sum(F.col("seed_w") * w).alias("dot"), F.sum(w * w).alias("norm_b")
     )
     scored = (
-        lookup_join(pairs.filter(F.col("norm_b") > 0), norms, ["seed_id"], "doc_id", small)
+        lookup_join(pairs.filter(F.col("norm_b") > 0), norms, seed, "doc_id", small)
         .select(
-            "seed_id",
-            "doc_id",
+            *seed,
+            *IDENTITY,
             _cosine(F.col("dot"), F.col("norm_a"), F.col("norm_b")).alias("similarity"),
         )
     )
-    order = Window.partitionBy("seed_id").orderBy(F.desc("similarity"), "doc_id")
+    order = Window.partitionBy(*seed).orderBy(F.desc("similarity"), *IDENTITY)
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -98,7 +105,7 @@ def similar_terms(
     appear when a seed has fewer than k neighbours, and then the first 2k terms
     of the vocabulary are certain to hold enough of them.
     """
-    rows = index.postings.filter(F.col("field") == field).select("doc_id", "term", "tf")
+    rows = index.postings.filter(F.col("field") == field).select(*IDENTITY, "term", "tf")
     names = keep(
         seeds.select("term", F.lit(field).alias("field")).distinct(), "seed-terms"
     )
@@ -106,9 +113,16 @@ def similar_terms(
     known = with_term_statistics(index, names, small).select("term", "df", "n_docs")
     own = (
         join_postings(index, known, small, field)
-        .select(F.col("term").alias("seed_term"), "doc_id", weight(scheme).alias("seed_w"))
+        .select(
+            F.col("term").alias("seed_term"),
+            "doc_id",
+            F.col("copy_no").alias("seed_copy"),
+            weight(scheme).alias("seed_w"),
+        )
         .filter(F.col("seed_w") > 0)
     )
+    # the rows are bucketed by doc_id alone: a second key would shuffle them
+    met = own.join(rows, "doc_id").filter(F.col("copy_no") - F.col("seed_copy") == 0)
     norms = _term_norms(index, scheme, field)
     if scheme == "tfxidf":
         norms = keep(norms, "term-norms")
@@ -119,8 +133,7 @@ def similar_terms(
         # df is constant per term, so products are summed per (seed, term, tf)
         # and weighted once df is known
         by_tf = (
-            own.join(rows, "doc_id")
-            .filter(F.col("term") != F.col("seed_term"))
+            met.filter(F.col("term") != F.col("seed_term"))
             .groupBy("seed_term", "term", "tf")
             .agg(F.sum("seed_w").alias("seed_w"))
         )
@@ -132,8 +145,7 @@ def similar_terms(
         )
     else:
         dots = (
-            own.join(rows, "doc_id")
-            .filter(F.col("term") != F.col("seed_term"))
+            met.filter(F.col("term") != F.col("seed_term"))
             .groupBy("seed_term", "term")
             .agg(F.sum(F.col("seed_w") * weight(scheme)).alias("dot"))
         )

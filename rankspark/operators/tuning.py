@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankspark.functions.scoring import Model
 from rankspark.operators.evaluate import METRICS, mean_nonzero, topic_metrics
-from rankspark.operators.index import Index
+from rankspark.operators.index import IDENTITY, Index
 from rankspark.operators.retrieve import scores, top_m
 from rankspark.session import fits, lookup_join
 
@@ -30,7 +30,7 @@ def grid(name: str) -> list[Model]:
 def settings_runs(
     index: Index, terms: DataFrame, models: list[Model], n: int, field: str = "contents"
 ) -> DataFrame:
-    """(model, param, topic_id, doc_id, score, rank): top n of every setting.
+    """(model, param, topic_id, doc_id, copy_no, score, rank): top n of every setting.
 
     All settings are scored together.  Instead of sorting every (setting, topic,
     document), a first pass finds a floor: the best scores of ``BLOCKS`` groups
@@ -66,7 +66,7 @@ def settings_runs(
         .filter(" OR ".join(within.values()))
         .selectExpr(
             "topic_id",
-            "doc_id",
+            *IDENTITY,
             f"inline(filter(array({rows}), x -> x.score IS NOT NULL))",
         )
     )

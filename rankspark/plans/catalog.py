@@ -40,7 +40,10 @@ REGISTRY: dict[str, Query] = {}
 
 
 def _tidy(df: DataFrame) -> DataFrame:
-    """Whole numbers as BIGINT, doubles rounded: the types the SQL side gives."""
+    """Whole numbers as BIGINT, doubles rounded: the types the SQL side gives.
+
+    The given tables have one row per id, so the numbers of copies are left out.
+    """
 
     def plain(field: T.StructField):
         c = F.col(field.name)
@@ -50,7 +53,8 @@ def _tidy(df: DataFrame) -> DataFrame:
             return shown(c).alias(field.name)
         return c
 
-    return df.select(*[plain(f) for f in df.schema.fields])
+    shown_fields = [f for f in df.schema.fields if f.name not in ("copy_no", "seed_copy")]
+    return df.select(*[plain(f) for f in shown_fields])
 
 
 def query(fn: Query) -> Query:
@@ -142,18 +146,38 @@ def qrels_scan(spark, sf):
     return records.scan_qrels(spark, path)
 
 
-@query
-def index_create(spark, sf):
-    index = ix.write_index(
-        raw_documents(spark, sf), fresh_folder(spark, "created"), positions=True
+def _whole(index: ix.Index) -> DataFrame:
+    """All that an index knows, in one relation: postings, documents, terms and totals."""
+
+    def part(df: DataFrame, kind: str, doc_id, term, a: str, b: str) -> DataFrame:
+        own = df.filter(F.col("field") == "contents")
+        return own.select(
+            F.lit(kind).alias("kind"), doc_id.alias("doc_id"), term.alias("term"), F.col(a).alias("a"), F.col(b).alias("b")
+        )
+
+    no_doc, no_term = F.lit(0).cast("bigint"), F.lit("")
+    key, term = F.col("doc_id"), F.col("term")
+    return (
+        part(index.postings, "posting", key, term, "tf", "doc_len")
+        .union(part(index.doc_stats, "document", key, no_term, "doc_len", "n_terms"))
+        .union(part(index.term_stats, "term", no_doc, term, "df", "cf"))
+        .union(part(index.field_stats, "documents", no_doc, no_term, "n_docs", "n_docs_with_field"))
+        .union(part(index.field_stats, "words", no_doc, no_term, "n_terms", "sum_cf"))
     )
-    return index.term_stats.select("term", "df", "cf")
 
 
 @query
-def index_upsert(spark, sf):
-    """Withdraws the low-quality documents, after an earlier copy of the same
-    batch, and adds the benchmark items as new documents."""
+def index_create(spark, sf):
+    """Documents, and the benchmark items under keys that documents have as well."""
+    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    docs = raw_documents(spark, sf).unionByName(items, allowMissingColumns=True)
+    return _whole(ix.write_index(docs, fresh_folder(spark, "created"), positions=True))
+
+
+def _upserted(spark, sf) -> str:
+    """An index after two updates: a batch that holds an earlier copy of each of its rows
+    withdraws the low-quality documents and adds the benchmark items, and those are then
+    replaced by themselves in lower case, so that the first batch's rows are withdrawn too."""
     docs = raw_documents(spark, sf)
     path = fresh_folder(spark, "upserted")
     ix.write_index(docs, path)
@@ -163,20 +187,36 @@ def index_upsert(spark, sf):
     later = poor.withColumn("text", F.concat(F.lit("withdrawn: "), "source")).withColumn(
         "seq", F.lit(2)
     )
-    new = table(spark, sf, "benchmark").select(
-        (-F.col("item_id") - 1).alias("doc_id"), "text", F.lit(1).alias("seq")
-    )
-    batch = earlier.unionByName(later).unionByName(new, allowMissingColumns=True)
-    index = ix.write_index(batch, path, mode="append", order_by="seq")
-    return index.term_stats.select("term", "df", "cf")
+    items = table(spark, sf, "benchmark").select((-F.col("item_id") - 1).alias("doc_id"), "text")
+    new = items.withColumn("seq", F.lit(1))
+    doubled = new.withColumn("text", F.concat("text", F.lit(" once more "), "text"))
+    batch = earlier.unionByName(later).unionByName(doubled, allowMissingColumns=True)
+    ix.write_index(batch, path, mode="append", order_by="seq")
+    ix.write_index(items, path, mode="append")
+    return path
+
+
+@query
+def index_upsert(spark, sf):
+    """Read from three segments, two of them with withdrawn keys."""
+    return _whole(ix.open_index(spark, _upserted(spark, sf)))
+
+
+@query
+def index_compact(spark, sf):
+    """The same index with all segments put into one."""
+    return _whole(ix.compact_index(spark, _upserted(spark, sf)))
 
 
 @query
 def partial_merge(spark, sf):
-    docs = corpus.documents(spark, sf)
-    english = ix.build_index(docs.filter(F.col("lang") == "en"))
-    other = ix.build_index(docs.filter(F.col("lang") != "en"))
-    return ix.merge_indexes([english, other]).term_stats.select("term", "df", "cf")
+    """Documents of each language group indexed apart, then merged by naming the parts."""
+    docs = raw_documents(spark, sf)
+    parts = [
+        ix.write_index(docs.filter(c), fresh_folder(spark, "partial"))
+        for c in (F.col("lang") == "en", F.col("lang") != "en", F.col("lang").isNull())
+    ]
+    return _whole(ix.write_merged(parts, fresh_folder(spark, "merged")))
 
 
 @query

@@ -351,7 +351,27 @@ UPSERT = {
     "texts": "SELECT 'contents' AS field, doc_id, contents AS text FROM docs",
 }
 
-CONTENTS_STATS = "SELECT term, df, cf FROM ts"
+# rows with one key are numbered, so that they stay documents of their own
+CREATED = {
+    "docs": "SELECT row_number() OVER () AS doc_id, key, contents FROM (SELECT doc_id AS key, text AS contents "
+    "FROM documents UNION ALL SELECT item_id, text FROM benchmark)",
+    "texts": "SELECT 'contents' AS field, doc_id, contents AS text FROM docs",
+}
+
+
+def _whole(key: str = "doc_id", given: dict[str, str] | None = None) -> str:
+    keyed = f"(SELECT doc_id, {key} AS key FROM docs)"
+    return _sql(
+        f"SELECT 'posting' AS kind, key AS doc_id, term, tf AS a, doc_len::BIGINT AS b FROM p JOIN {keyed} USING (doc_id) "
+        f"UNION ALL SELECT 'document', key, '', len(toks), len(list_distinct(toks)) FROM lists JOIN {keyed} USING (doc_id) "
+        "WHERE field = 'contents' "
+        "UNION ALL SELECT 'term', 0, term, df, cf FROM ts "
+        "UNION ALL SELECT 'documents', 0, '', n_docs, n_docs_with_field FROM fs3 WHERE field = 'contents' "
+        "UNION ALL SELECT 'words', 0, '', (SELECT count(*) FROM ts), sum_cf FROM fs3 WHERE field = 'contents'",
+        given,
+    )
+
+
 RUN_OUT = "topic_id, doc_id, round(score, 6) AS score, rank"
 
 ORACLE: dict[str, str] = {
@@ -367,9 +387,10 @@ ORACLE: dict[str, str] = {
     "FROM documents",
     "topics_scan": _sql("SELECT topic_id, text FROM topics"),
     "qrels_scan": _sql("SELECT topic_id, doc_id FROM qrels"),
-    "index_create": _sql(CONTENTS_STATS),
-    "index_upsert": _sql(CONTENTS_STATS, UPSERT),
-    "partial_merge": _sql(CONTENTS_STATS),
+    "index_create": _whole("key", CREATED),
+    "index_upsert": _whole("doc_id", UPSERT),
+    "index_compact": _whole("doc_id", UPSERT),
+    "partial_merge": _whole(),
     "stored_fields": _sql(
         f"SELECT topic_id, doc_id, rank, path, round(size_kb, 6) AS size_kb FROM run JOIN docs "
         f"USING (doc_id) WHERE rank <= {cat.CUT}"

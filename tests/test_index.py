@@ -1,8 +1,13 @@
+import os
+
 import pytest
 from conftest import MICRO, rows
 from pyspark.sql import functions as F
 
+from rankspark.functions.scoring import Model
 from rankspark.operators import index as ix
+from rankspark.operators import retrieve, similar
+from rankspark.operators import weights as wt
 from rankspark.session import fresh_folder
 
 DOC = "doc_id BIGINT, text STRING"
@@ -64,7 +69,8 @@ def test_merged_parts_equal_one_pass(spark):
     parts = [ix.build_index(docs.filter(F.col("doc_id") % 2 == i), ix.FIELDS) for i in (0, 1)]
     merged, whole = ix.merge_indexes(parts), ix.build_index(docs, ix.FIELDS)
     for name in ("postings", "doc_stats", "term_stats", "field_stats"):
-        left, right = getattr(merged, name), getattr(whole, name)
+        # a merge numbers the copies of a key part by part
+        left, right = getattr(merged, name), getattr(whole, name).drop("copy_no")
         assert sorted(rows(left.select(right.columns))) == sorted(rows(right)), name
 
 
@@ -76,7 +82,8 @@ def test_written_parts_are_merged_and_written(spark):
     ix.write_index(spark.createDataFrame([(9, "old")], DOC), target, buckets=2)
     merged, whole = ix.write_merged(parts, target, buckets=2), ix.build_index(ix.describe(docs))
     for name in ("postings", "doc_stats", "term_stats", "field_stats"):
-        left, right = getattr(merged, name), getattr(whole, name)
+        # a merge numbers the copies of a key part by part
+        left, right = getattr(merged, name), getattr(whole, name).drop("copy_no")
         assert sorted(rows(left.select(right.columns))) == sorted(rows(right)), name
 
 
@@ -127,10 +134,124 @@ def test_open_without_the_session_table(spark, micro):
         assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_repeated_keys_raise(spark):
-    docs = spark.createDataFrame([(1, "a b"), (1, "a b c")], DOC)
-    with pytest.raises(ValueError, match="occurs 2 times"):
-        ix.write_index(docs, fresh_folder(spark, "twice"), buckets=2)
+def hits(spark, index, word, model=None):
+    topics = spark.createDataFrame([(1, word)], "topic_id BIGINT, text STRING")
+    run = retrieve.search(index, retrieve.topic_terms(topics), model or Model("tfidf"), 10)
+    return [(r.doc_id, r.score, r["rank"]) for r in run.orderBy("rank").collect()]
+
+
+def test_repeated_keys_are_documents_of_their_own(spark):
+    """Two rows with one key are two hits with the scores they would have alone."""
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b c a"), (2, "a a"), (1, "a b")], DOC)
+    alone = spark.createDataFrame([(1, "a b"), (3, "a b c a"), (2, "a a"), (4, "a b")], DOC)
+    index = ix.write_index(docs, fresh_folder(spark, "twice"), buckets=2, fields=ix.FIELDS)
+    single = ix.write_index(alone, fresh_folder(spark, "once"), buckets=2, fields=ix.FIELDS)
+    renamed = lambda found: sorted((1 if d in (3, 4) else d, s) for d, s, _ in found)
+    assert renamed(hits(spark, index, "a c")) == renamed(hits(spark, single, "a c"))
+    assert [r for *_, r in hits(spark, index, "a c")] == [1, 2, 3, 4]
+    assert stats(index) == stats(single)
+    assert sorted(rows(index.field_stats)) == sorted(rows(single.field_stats))
+    assert sorted(r.copy_no for r in index.docs.filter("doc_id = 1").collect()) == [0, 1, 2]
+    # the rows of a key are kept apart wherever documents are grouped or joined
+    assert wt.best_terms(index).filter("field = 'contents'").count() == 2 + 3 + 1 + 2
+    run = spark.createDataFrame([(1, 1, 1, 5.0, 1)], "topic_id BIGINT, doc_id BIGINT, copy_no BIGINT, score DOUBLE, rank INT")
+    assert retrieve.stored_fields(run, index.docs, ["contents"]).count() == 1
+    terms = spark.createDataFrame([("c",)], "term STRING")
+    near = similar.similar_terms(index, terms, "tf", k=2).orderBy("rank").collect()
+    assert [r.term for r in near] == ["a", "b"] and near[0].similarity == pytest.approx(2 / 10**0.5, abs=1e-9)
+    assert similar.similar_docs(index, spark.createDataFrame([(1,)], "doc_id BIGINT"), "tf").count() == 3 * 3
+    updated = ix.write_index(spark.createDataFrame([(1, "new")], DOC), index_path(index), mode="append")
+    assert contents(updated) == {1: "new\n", 2: "a a\n"} and [d for d, *_ in hits(spark, updated, "a new")] == [1, 2]
+
+
+def index_path(index):
+    return index.manifest.segments[0].folder.rpartition("/v")[0]
+
+
+def test_repeated_keys_of_merged_parts_stay_apart(spark):
+    make = lambda text: ix.write_index(spark.createDataFrame([(1, text), (2, "x")], DOC), fresh_folder(spark, "part"), buckets=2)
+    merged = ix.write_merged([make("a b"), make("a b a")], fresh_folder(spark, "merged"))
+    path = fresh_folder(spark, "merged")
+    again = ix.write_merged([merged, make("a")], path)
+    compacted = ix.compact_index(spark, path)
+    # copies of a compacted index still stay apart from those of further parts
+    more = ix.write_merged([make("a a a"), compacted, merged], fresh_folder(spark, "merged"))
+    for index, n in ((merged, 2), (again, 3), (compacted, 3), (more, 6)):
+        assert len(hits(spark, index, "a")) == n and index.docs.select(*ix.IDENTITY).distinct().count() == 2 * n
+    whole = spark.createDataFrame([(1, "a b"), (2, "a b a"), (3, "a"), (4, "x"), (5, "x"), (6, "x")], DOC)
+    single = ix.write_index(whole, fresh_folder(spark, "once"), buckets=2)
+    for index in (again, compacted):
+        assert sorted(s for _, s, _ in hits(spark, index, "a")) == sorted(s for _, s, _ in hits(spark, single, "a"))
+
+
+def test_a_merge_copies_nothing_and_refuses_other_settings(spark):
+    docs = spark.createDataFrame(MICRO, DOC)
+    one = ix.write_index(docs.filter("doc_id < 3"), fresh_folder(spark, "part"), buckets=2, stopwords=["apple"])
+    two = ix.write_index(docs.filter("doc_id > 2"), fresh_folder(spark, "part"), buckets=2, stopwords=["apple"])
+    path = fresh_folder(spark, "merged")
+    merged = ix.write_merged([one, two], path)
+    assert sorted(os.listdir(f"{path.removeprefix('file:')}/v0")) == ["field_stats", "term_stats"]
+    assert {s.folder for s in merged.manifest.segments} == {s.folder for p in (one, two) for s in p.manifest.segments}
+    # an update of the merge analyses like its parts, and leaves them alone
+    updated = ix.write_index(spark.createDataFrame([(3, "apple pie")], DOC), path, mode="append")
+    assert {r.term for r in updated.postings.filter("doc_id = 3").collect()} == {"pie"}
+    assert contents(ix.open_index(spark, index_path(two)))[3] == "date apple\n"
+    other = ix.write_index(docs, fresh_folder(spark, "part"), buckets=2)
+    with pytest.raises(ValueError, match="different fields"):
+        ix.write_merged([one, other], fresh_folder(spark, "merged"))
+
+
+def everything(index):
+    tables = ("docs", "postings", "doc_stats", "term_stats", "field_stats")
+    return {t: sorted(rows(getattr(index, t).drop("copy_no")), key=repr) for t in tables}
+
+
+def test_many_updates_equal_a_fresh_index_and_compaction_changes_nothing(spark):
+    path, live = fresh_folder(spark, "updates"), dict(MICRO)
+    ix.write_index(spark.createDataFrame(MICRO, DOC), path, buckets=2)
+    batches = [
+        [(2, "banana split"), (7, "")],
+        [(1, ""), (7, "fig fig"), (8, "grape")],  # words die out
+        [(1, "apple grape"), (2, "date"), (9, "fig")],  # and come up again
+    ]
+    for batch in batches:
+        live |= dict(batch)
+        index = ix.write_index(spark.createDataFrame(batch, DOC), path, mode="append")
+        fresh = ix.write_index(
+            spark.createDataFrame(sorted(live.items()), DOC), fresh_folder(spark, "fresh"), buckets=2
+        )
+        assert everything(index) == everything(fresh)
+        # bounds hold for what is live
+        wide = {(r.field, r.term): r for r in index.term_bounds.collect()}
+        for r in fresh.term_bounds.collect():
+            w = wide[r.field, r.term]
+            assert w.max_tf >= r.max_tf and w.max_rate >= r.max_rate and w.min_len <= r.min_len
+    assert len(index.manifest.segments) == 4
+    compacted = ix.compact_index(spark, path)
+    assert len(compacted.manifest.segments) == 1 and everything(compacted) == everything(fresh)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_an_update_reads_no_old_posting_and_readers_move_none(spark, monkeypatch):
+    path = fresh_folder(spark, "delta")
+    ix.write_index(spark.createDataFrame([(i, f"word{i} common") for i in range(300)], DOC), path, buckets=3)
+    read = []
+    table = ix._table
+    monkeypatch.setattr(ix, "_table", lambda s, folder, part, *rest: read.append((folder[-2:], part)) or table(s, folder, part, *rest))
+    index = ix.write_index(spark.createDataFrame([(5, "changed common")], DOC), path, mode="append")
+    written = spark.read.parquet(f"{path}/v1/postings")
+    assert written.count() == 2 and spark.read.parquet(f"{path}/v1/hidden").count() == 1
+    # grouping by document finds its rows in place, few withdrawn keys or many
+    for limit in (ix.BROADCAST_ROWS, -1):
+        monkeypatch.setattr(ix, "BROADCAST_ROWS", limit)
+        again = ix.open_index(spark, path)
+        grouped = again.postings.groupBy(*ix.IDENTITY).count()
+        assert exchanges(grouped) == 0 and grouped.count() == 300
+        assert rows(ix.postings_of(again, "word5")) == []
+    assert index.term_stats.filter("term = 'common'").first().df == 300
 
 
 def test_update_takes_new_buckets_and_breaks_ties(spark):

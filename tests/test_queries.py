@@ -8,7 +8,8 @@ from rankspark.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = (
-    "tokenize", "token_positions", "postings", "doc_length", "field_stats", "index_upsert",
+    "tokenize", "token_positions", "postings", "doc_length", "field_stats", "index_create",
+    "index_upsert", "index_compact", "partial_merge",
     "best_terms_text", "similar_docs_tf", "similar_terms_tfxidf", "search_tfidf", "search_dir",
     "run_listing", "recall_at_n", "feedback_residual", "tune_dir", "paired_t_test",
     "wilcoxon_normal", "record_scan", "qrels_scan",
