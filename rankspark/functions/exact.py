@@ -15,31 +15,38 @@ from pyspark.sql import functions as F
 UNIT = 1e11
 # Below this an addend's units fit into a BIGINT.
 FITS = 9.2e7
+# Below this they fit into a decimal of 28 digits.
+LARGEST = 9.9e16
 RANK_DIGITS = 9
 SHOWN_DIGITS = 6
 
 
 def units(x: Column) -> Column:
+    """``x`` in whole units, NULL as 0; a value that does not fit raises."""
+    x = F.coalesce(x, F.lit(0.0))
     inside = F.floor(x * F.lit(UNIT) + F.lit(0.5)).cast("bigint")
     problem = F.raise_error(F.concat(F.lit("addend too large for a score: "), x.cast("string")))
-    return F.when(x.isNull() | (F.abs(x) < FITS), inside).otherwise(problem.cast("bigint"))
+    return F.when(F.abs(x) < FITS, inside).otherwise(problem.cast("bigint"))
 
 
 def total_units(x: Column) -> Column:
-    """Sum of BIGINT units; a sum that leaves their range raises."""
-    whole = F.try_sum(x)
-    problem = F.raise_error(F.lit("sum of scores leaves the range of BIGINT"))
-    return F.when(whole.isNull() & (F.count(x) > 0), problem.cast("bigint")).otherwise(whole)
+    """Sum of BIGINT units that are not NULL; NULL means that it left their range."""
+    return F.try_sum(x)
 
 
 def from_units(name: str) -> Column:
-    """A sum of units as a double, rounded like ``rank_key`` in whole numbers."""
-    return F.expr(f"(`{name}` + 50) div 100") / F.lit(1e9)
+    """A sum of units as a double, rounded like ``rank_key`` in whole numbers; one out of range raises."""
+    problem = F.raise_error(F.lit("sum of scores leaves the range of BIGINT")).cast("double")
+    return F.when(F.col(name).isNull(), problem).otherwise(F.expr(f"(`{name}` + 50) div 100") / F.lit(1e9))
 
 
 def exact_sum(x: Column) -> Column:
+    """Sum of doubles in decimals; an addend beyond their range raises, in ANSI mode or not."""
     small = F.floor(x * F.lit(UNIT) + F.lit(0.5)).cast("bigint").cast("decimal(28,0)")
-    large = (x * F.lit(UNIT)).cast("decimal(28,0)")
+    problem = F.raise_error(F.concat(F.lit("addend too large for a sum: "), x.cast("string")))
+    large = F.when(F.abs(x) < LARGEST, (x * F.lit(UNIT)).cast("decimal(28,0)")).otherwise(
+        problem.cast("decimal(28,0)")
+    )
     addend = F.when(x.isNull() | (F.abs(x) < FITS), small).otherwise(large)
     return F.sum(addend).cast("double") / F.lit(UNIT)
 

@@ -2,6 +2,8 @@
 
 Each takes the match columns ``weight, tf, doc_len, df, cf`` and the field
 totals ``n_docs_with_field, sum_cf``, and gives the contribution of one term.
+None falls with ``tf`` or grows with ``doc_len`` while weights are not negative, so the
+largest values that a term's postings have bound its contribution to any score.
 """
 
 from __future__ import annotations
@@ -12,25 +14,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def tfidf_score() -> Column:
+def tfidf_score(tf: Column, doc_len: Column) -> Column:
     idf = 1 + F.ln((F.col("n_docs_with_field") + 1) / (F.col("df") + 1))
-    return F.col("weight") * F.sqrt("tf") * idf / F.sqrt("doc_len")
+    return F.col("weight") * F.sqrt(tf) * idf / F.sqrt(doc_len)
 
 
 def _collection_probability() -> Column:
     return (F.col("cf") + 1) / (F.col("sum_cf") + 1)
 
 
-def jelinek_mercer_score(lam: float) -> Column:
-    seen = F.lit(1.0 - lam) * F.col("tf") / F.col("doc_len")
+def jelinek_mercer_score(tf: Column, doc_len: Column, lam: float) -> Column:
+    seen = F.lit(1.0 - lam) * tf / doc_len
     return F.col("weight") * F.ln(1 + seen / (F.lit(lam) * _collection_probability()))
 
 
-def dirichlet_score(mu: float) -> Column:
+def dirichlet_score(tf: Column, doc_len: Column, mu: float) -> Column:
     if mu == 0:
         return F.lit(0.0)
-    gain = F.ln(1 + F.col("tf") / (F.lit(mu) * _collection_probability()))
-    length = F.ln(F.lit(mu) / (F.col("doc_len") + F.lit(mu)))
+    gain = F.ln(1 + tf / (F.lit(mu) * _collection_probability()))
+    length = F.ln(F.lit(mu) / (doc_len + F.lit(mu)))
     return F.col("weight") * F.greatest(F.lit(0.0), gain + length)
 
 
@@ -56,9 +58,19 @@ class Model:
             self.name == "dir" and self.param == 0
         )
 
-    def contribution(self) -> Column:
+    def _score(self, tf: Column, doc_len: Column) -> Column:
         if self.name == "tfidf":
-            return tfidf_score()
+            return tfidf_score(tf, doc_len)
         if self.name == "jm":
-            return jelinek_mercer_score(self.param)
-        return dirichlet_score(self.param)
+            return jelinek_mercer_score(tf, doc_len, self.param)
+        return dirichlet_score(tf, doc_len, self.param)
+
+    def contribution(self) -> Column:
+        return self._score(F.col("tf"), F.col("doc_len"))
+
+    def bound(self) -> Column:
+        """No less than any contribution of a term with ``max_tf``, ``max_rate`` and ``min_len``."""
+        if self.name == "dir":
+            return self._score(F.col("max_tf"), F.col("min_len"))
+        # these read nothing but the share of the document that is the term
+        return self._score(F.col("max_rate"), F.lit(1.0))

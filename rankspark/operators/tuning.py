@@ -11,7 +11,7 @@ from rankspark.functions.scoring import Model
 from rankspark.operators.evaluate import METRICS, mean_nonzero, topic_metrics
 from rankspark.operators.index import IDENTITY, Index
 from rankspark.operators.retrieve import scores, top_m
-from rankspark.session import fits, lookup_join
+from rankspark.session import fits, keep, lookup_join
 
 # The parameter grids.
 JM_GRID = (0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -32,14 +32,15 @@ def settings_runs(
 ) -> DataFrame:
     """(model, param, topic_id, doc_id, copy_no, score, rank): top n of every setting.
 
-    All settings are scored together.  Instead of sorting every (setting, topic,
+    All settings are scored together, once.  Instead of sorting every (setting, topic,
     document), a first pass finds a floor: the best scores of ``BLOCKS`` groups
     of documents belong to that many different documents, hence the n-th largest
     of them is not above the n-th best score.  Only rows that reach the floor
     are ranked, and the result is exact.
     """
     named: Mapping[str, Model] = {f"s{i}": m for i, m in enumerate(models)}
-    wide = scores(index, terms, named, field)
+    # floors and ranking read the scores, not the postings again
+    wide = keep(scores(index, terms, named, field), "settings")
     blocks = max(BLOCKS, 4 * n)
     best = wide.groupBy(
         "topic_id", F.expr(f"pmod(xxhash64(doc_id), {blocks})").alias("block")

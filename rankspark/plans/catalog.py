@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,23 +112,33 @@ def extension_filter(spark, sf):
     )
 
 
+def _mixed_records(rows: DataFrame, path: str, end: str) -> None:
+    """Records in one folder whose files have LF, CR LF and CR, dealt out by the id."""
+    kind = F.pmod(F.xxhash64("id"), F.lit(3))
+    for i, newline in enumerate(("\n", "\r\n", "\r")):
+        records.write_records(rows.filter(kind == i), path, end, newline)
+
+
 @query
 def record_scan(spark, sf):
+    """Documents, and benchmark items under ids that are no numbers; one has separators in
+    its lines that do not fill them."""
     path = fresh_folder(spark, "doc-text")
-    docs = table(spark, sf, "documents")
-    records.write_records(
-        docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body")),
-        path, records.DOCUMENT_END,
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("body"))
+    items = table(spark, sf, "benchmark").select(
+        F.concat(F.lit("item-"), "item_id").alias("id"),
+        F.concat("text", F.lit("   / is no end   /"), "text", F.lit("    /")).alias("body"),
     )
-    return records.scan_documents(spark, path).withColumnRenamed("text", "contents")
+    _mixed_records(docs.unionByName(items), path, records.DOCUMENT_END)
+    return records.scan_documents(spark, path, id_type="string").withColumnRenamed("text", "contents")
 
 
 @query
 def topics_scan(spark, sf):
     path = fresh_folder(spark, "query-text")
     items = table(spark, sf, "benchmark")
-    records.write_records(
-        items.select(F.col("item_id").alias("id"), F.col("text").alias("body")),
+    _mixed_records(
+        items.select(F.col("item_id").alias("id"), F.concat("text", F.lit(" and/or /")).alias("body")),
         path, records.TOPIC_END,
     )
     return records.scan_topics(spark, path)
@@ -445,6 +455,20 @@ for _model in (TFIDF, JM, DIR):
     _search(_model)
 
 
+@query
+def search_pruned(spark, sf):
+    """Short topics, of their two rarest words and their commonest, without scoring what
+    cannot reach the top."""
+    c = collection(spark, sf)
+    stats = _contents(c.index.term_stats).select("term", "df")
+    known = c.terms.join(stats, "term")
+    place = F.row_number().over(Window.partitionBy("topic_id").orderBy("df", "term"))
+    n = F.count("*").over(Window.partitionBy("topic_id"))
+    short = known.withColumn("place", place).withColumn("n", n).filter("place <= 2 OR place = n")
+    terms = keep(short.select("topic_id", "term", "weight"), "short-topics")
+    return retrieve.search(c.index, terms, TFIDF, CUT, prune=True)
+
+
 @query
 def search_weighted(spark, sf):
     """Topic words weighted by the inverse of how many topics use them."""

@@ -383,9 +383,10 @@ ORACLE: dict[str, str] = {
     "(strlen(text) + 1) / 1000::DOUBLE AS size_kb FROM documents",
     "extension_filter": "SELECT page_id, url FROM pages WHERE NOT contains(url, '.') OR "
     rf"regexp_extract(url, '\.[^.]*$') IN ({_list(cat.PAGE_EXTENSIONS)})",
-    "record_scan": r"SELECT doc_id, regexp_replace(text, '\r\n|\r|\n', ' ', 'g') || ' ' AS contents "
-    "FROM documents",
-    "topics_scan": _sql("SELECT topic_id, text FROM topics"),
+    "record_scan": r"SELECT doc_id, regexp_replace(t, '\r\n|\r|\n', ' ', 'g') || ' ' AS contents FROM ("
+    "SELECT doc_id::VARCHAR AS doc_id, text AS t FROM documents UNION ALL SELECT 'item-' || item_id, "
+    "text || '   / is no end   /' || text || '    /' FROM benchmark)",
+    "topics_scan": _sql("SELECT topic_id, text[:-2] || ' and/or / ' AS text FROM topics"),
     "qrels_scan": _sql("SELECT topic_id, doc_id FROM qrels"),
     "index_create": _whole("key", CREATED),
     "index_upsert": _whole("doc_id", UPSERT),
@@ -463,6 +464,16 @@ ORACLE: dict[str, str] = {
         f"search_{name}": _sql(f"SELECT {RUN_OUT} FROM r", {"r": _run(model, cat.CUT)})
         for name, model in (("tfidf", TFIDF), ("jm", JM), ("dir", DIR))
     },
+    "search_pruned": _sql(
+        f"SELECT {RUN_OUT} FROM r",
+        {
+            "short": "SELECT * FROM (SELECT topic_id, term, weight, row_number() OVER (PARTITION BY topic_id "
+            "ORDER BY df, term) AS place, count(*) OVER (PARTITION BY topic_id) AS n FROM tt JOIN ts USING (term)) "
+            "WHERE place <= 2 OR place = n",
+            "sm": "SELECT topic_id, weight, p.* FROM short JOIN p USING (term)",
+            "r": _run(TFIDF, cat.CUT, "sm"),
+        },
+    ),
     "search_weighted": _sql(
         f"SELECT {RUN_OUT} FROM r",
         {

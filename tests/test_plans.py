@@ -2,9 +2,11 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankspark import session
+from rankspark.functions import exact
 from rankspark.functions.scoring import Model
 from rankspark.operators import feedback, retrieve, similar, tuning
 from rankspark.operators import index as ix
@@ -119,3 +121,96 @@ def test_scores_do_not_depend_on_the_layout(spark, c):
     one = ix.write_index(docs, session.fresh_folder(spark, "one"), buckets=1)
     a = rows(retrieve.search(one, c.terms, JM, 50))
     assert sorted(a) == sorted(rows(retrieve.search(c.index, c.terms, JM, 50)))
+
+
+def short_topics(c, spark, words=3):
+    """Topics of their rarest words and a common one."""
+    stats = c.index.term_stats.filter("field = 'contents'").select("term", "df")
+    order = Window.partitionBy("topic_id").orderBy("df", "term")
+    placed = c.terms.join(stats, "term").withColumn("r", F.row_number().over(order))
+    last = F.max("r").over(Window.partitionBy("topic_id"))
+    return session.keep(placed.withColumn("n", last).filter(f"r < {words} OR r = n").select("topic_id", "term", "weight"), "t")
+
+
+@pytest.mark.parametrize("model", [Model("tfidf"), JM, Model("dir", 100.0), Model("dir", 0.0), Model("jm", 1.0)])
+@pytest.mark.parametrize("m", [1, 10, 500])
+def test_pruned_search_gives_the_same_run(spark, c, model, m):
+    for terms in (c.terms, short_topics(c, spark)):
+        pruned = retrieve.search(c.index, terms, model, m, prune=True)
+        assert sorted(rows(pruned)) == sorted(rows(retrieve.search(c.index, terms, model, m, prune=False)))
+
+
+def test_pruned_search_breaks_ties_alike(spark):
+    """Many documents with one score, and scores that differ by less than rounding shows."""
+    docs = [(i, "rare common") for i in range(40, 0, -1)] + [(100 + i, "common " * (i % 3 + 1)) for i in range(60)]
+    index = ix.write_index(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), session.fresh_folder(spark, "ties"), buckets=2)
+    for weight in (1.0, 1e-10, 0.0, -1.0):
+        terms = spark.createDataFrame([(1, "rare", 1.0), (1, "common", weight), (2, "common", 1.0), (2, "no", 1.0)], "topic_id BIGINT, term STRING, weight DOUBLE")
+        for m in (1, 5, 60):
+            runs = [sorted(rows(retrieve.search(index, terms, JM, m, prune=p))) for p in (True, False)]
+            assert runs[0] == runs[1] and runs[0]
+
+
+def test_pruned_search_scores_few_documents(spark, c):
+    docs = [(i, ("rare " if i % 100 == 0 else "") + "common words " + f"w{i}") for i in range(3000)]
+    index = ix.write_index(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), session.fresh_folder(spark, "many"), buckets=2)
+    terms = spark.createDataFrame([(1, "rare", 1.0), (1, "common", 1.0)], "topic_id BIGINT, term STRING, weight DOUBLE")
+    known = retrieve.known_terms(index, terms, True, "contents")
+    bounded = index.term_bounds.filter("field = 'contents'").drop("field").join(known, "term")
+    dealt = retrieve.allotments(bounded, retrieve._floors(index, bounded, JM, 10, "contents"), JM)
+    # no word gets more than its bound, no topic more than its floor
+    told = dealt.groupBy("topic_id").agg(F.sum("allot"), F.min(F.col("bound") - F.col("allot"))).first()
+    floor = retrieve._floors(index, bounded, JM, 10, "contents").first().floor
+    assert 0 < told[1] < floor and told[2] >= 0
+    assert retrieve.candidates(index, dealt, JM).count() == 30
+    assert retrieve.match_any(index, terms).count() == 3000
+    found = retrieve._pruned_scores(index, known, JM, 10, "contents")
+    text = plan(found)
+    assert found.count() == 30 and "ShuffledHashJoin" in text
+    # neither side of the join by document is moved
+    assert "Exchange hashpartitioning(topic_id" not in text and "Exchange hashpartitioning(doc_id" not in text
+
+
+def test_scores_are_bounded_by_the_statistics(spark, c):
+    for model in (Model("tfidf"), JM, Model("dir", 100.0)):
+        named = c.index.term_bounds.filter("field = 'contents'").drop("field")
+        terms = named.select("term").withColumn("topic_id", F.lit(1)).withColumn("weight", F.lit(1.0))
+        rows_ = retrieve.matches(c.index, terms).join(named, "term")
+        assert rows_.filter(model.contribution() > model.bound() + 1e-9).count() == 0
+
+
+def test_top_m_beyond_the_window_limit(spark):
+    """Past Spark's own limit the m best are first taken share by share."""
+    scored = spark.range(20_000).select(
+        (F.col("id") % 2).alias("topic_id"), F.col("id").alias("doc_id"), (F.col("id") % 97).cast("double").alias("score")
+    )
+    got = retrieve.top_m(scored, 1500)
+    want = [(t, i, s) for t in (0, 1) for s, i in sorted(((float(i % 97), i) for i in range(20_000) if i % 2 == t), key=lambda r: (-r[0], r[1]))[:1500]]
+    assert sorted((r.topic_id, r.doc_id, r.score) for r in got.collect()) == sorted(want)
+    assert sorted(r["rank"] for r in got.filter("topic_id = 1").collect()) == list(range(1, 1501))
+    assert plan(got).count("Window [row_number()") == 2 and plan(retrieve.top_m(scored, 10)).count("Window [row_number()") == 1
+
+
+def test_tuning_reads_the_postings_once(spark, c):
+    """Floors and ranking read the kept scores."""
+    text = plan(tuning.settings_runs(c.index, c.terms, tuning.grid("jm")[:2], 5))
+    assert "postings" not in text and "settings-" in text
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_out_of_range_raise(spark, ansi):
+    """No addend is left out silently, in ANSI mode or not."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        values = lambda *v: spark.createDataFrame([(x,) for x in v], "x DOUBLE")
+        assert values(1e16, 2.0, None).agg(exact.exact_sum(F.col("x"))).first()[0] == 1e16 + 2
+        with pytest.raises(Exception, match="too large for a sum"):
+            values(1e18, 2.0).agg(exact.exact_sum(F.col("x"))).first()
+        total = lambda df: df.agg(exact.total_units(exact.units(F.col("x"))).alias("s")).select(exact.from_units("s")).first()[0]
+        assert total(values(1.5, None, 2.25)) == 3.75
+        for bad in ((1e9,), (9e7, 9e7)):
+            with pytest.raises(Exception, match="too large for a score|leaves the range"):
+                total(values(*bad))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

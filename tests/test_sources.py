@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from conftest import rows
@@ -134,3 +135,43 @@ def test_records_take_every_line_end_and_id(spark, tmp_path, newline):
     assert got == [("2", "gamma  delta "), ("A-1", "alpha beta ")]
     with pytest.raises(Exception, match="not a bigint: A-1"):
         records.scan_documents(spark, path).collect()
+
+
+def test_a_folder_may_mix_line_ends(spark, tmp_path):
+    """Every file its own, or several in one file; no record is lost."""
+    (tmp_path / "mix").mkdir()
+    for i, newline in enumerate(("\n", "\r\n", "\r")):
+        lines = [str(i), "alpha", "   /", str(10 + i), "beta", "", "   /", str(20 + i), "   /"]
+        (tmp_path / f"mix/{i}.txt").write_bytes(newline.join([*lines, ""]).encode())
+    both = "30\ngamma\r\n   /\r\n31\rdelta\r   /\n32\nx   /\n   / y\n    /\n   /"
+    (tmp_path / "mix/both").write_bytes(both.encode())
+    got = sorted(rows(records.scan_documents(spark, f"{tmp_path}/mix")))
+    want = [(i, "alpha ") for i in range(3)] + [(10 + i, "beta  ") for i in range(3)] + [(20 + i, "") for i in range(3)]
+    assert got == sorted([*want, (30, "gamma "), (31, "delta "), (32, "x   /    / y     / ")])
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("end", [records.DOCUMENT_END, records.TOPIC_END])
+def test_false_separators_at_any_split_edge(spark, tmp_path, newline, end):
+    """Splits of few bytes, records of many: every edge falls somewhere else."""
+    rng = random.Random(len(newline) + len(end))
+    bits = ["a", "b" * 7, end, f"x{end}", f"{end} y", "", f" {end}", f"{end}{end}"]
+    made = []
+    for i in range(400):
+        body = [rng.choice(bits) + "." for _ in range(rng.randint(0, 6))]
+        made.append((str(i), body))
+    # a record longer than several splits
+    made.insert(200, ("long", [f"{end}z"] * 400))
+    text = "".join(newline.join([key, *body, end, ""]) for key, body in made)
+    path = tmp_path / "edges"
+    path.write_bytes((f"{end}{newline}" + text).encode())
+    settings = {"spark.sql.files.maxPartitionBytes": "97", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = records.scan_records(spark, str(path), end)
+        assert sorted((r.id, r.lines) for r in got.collect()) == sorted(made)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
