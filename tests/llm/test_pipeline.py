@@ -36,3 +36,34 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
     assert sorted(pieces.doc_id.unique()) == sorted(i for i, _ in left)
     assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeated_strings", "benchmark_leaks", "packing"]
+
+
+CLASHES = ("score", "lang_pred", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256", "_text", "_doc", "_content", "_maybe", "key", "a.b", "carried_0")
+
+
+def test_stages_leave_clashing_columns_alone(spark, tmp_path):
+    """Names of results and helpers, null ids and texts, repeated rows."""
+    rng = random.Random(9)
+    passage = invent(rng, 60)
+    texts = [f"{invent(rng, 50)} {passage} {invent(rng, 20)}" for _ in range(3)] + [invent(rng, 80) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, invent(rng, 70)), (None, invent(rng, 70)), (30, None), (6, texts[6])]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    more = ", ".join(f"`{c}` string" for c in CLASHES)
+    data = [(i, t, "en", "s", len(t or ""), *[f"{c} of {i}" for c in CLASHES]) for i, t in rows]
+    docs = spark.createDataFrame(data, f"{kinds}, {more}")
+    spark.createDataFrame([(1, invent(rng, 40)), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for empty in (False, True):
+        table = docs.limit(0) if empty else docs
+        counts = []
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, str(tmp_path))
+            assert out.columns == docs.columns, name
+            table = spark.createDataFrame(out.collect(), docs.schema)
+            for r in table.collect():
+                assert all(r[c] == f"{c} of {r.doc_id}" for c in CLASHES), name
+                assert r.n_chars == len(r.text)
+            counts.append(table.count())
+        # the row without text goes first, then the repeated row; the passage is cut from two texts
+        assert counts == ([0] * 4 if empty else [26, 25, 25, 25])
+        pieces = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path))
+        assert pieces.select("doc_id").distinct().count() == (0 if empty else 24)
