@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
-from rankspark.session import BROADCAST_ROWS, SALT, fits, keep, lookup_join
+from rankspark.session import BROADCAST_ROWS, fits, keep, lookup_join
 
 FIELDS = ("contents", "top5_lines", "bottom5_lines")
 IDENTITY = ("doc_id", "copy_no")
@@ -45,6 +45,10 @@ MANIFEST = (
     "segments ARRAY<STRUCT<folder: STRING, buckets: INT, first_copy: BIGINT, copies: BIGINT, "
     "hidden: ARRAY<STRUCT<folder: STRING, keys: BIGINT, buckets: INT>>>>, statistics ARRAY<STRING>"
 )
+# String columns of documents that are looked up by value, and their distinct values in a
+# row group (a filter of about ten bits each).
+KEYWORDS = ("path", "source_file", "hostname", "thread")
+KEYWORD_VALUES = 200_000
 # Copies of a key within one segment; parts of a merge begin at multiples of it.
 COPIES = 1 << 32
 HEAVY_TERMS = BROADCAST_ROWS
@@ -268,14 +272,21 @@ def _save(
     that each task writes the one file of its bucket.
     """
     name = _table_name(path, version, part)
-    (
+    writer = (
         df.write.format("parquet")
         .bucketBy(buckets, "doc_id")
         .sortBy(*sort)
         .option("path", f"{path}/v{version}/{part}")
         .mode("overwrite")
-        .saveAsTable(name)
     )
+    if part == "docs":
+        # a lookup of a keyword opens only the row groups that may hold it
+        for column, kind in df.dtypes:
+            if kind == "string" and column in (*KEYWORDS, "doc_id"):
+                writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+                    f"parquet.bloom.filter.expected.ndv#{column}", KEYWORD_VALUES
+                )
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -735,28 +746,35 @@ def join_postings(
 ) -> DataFrame:
     """Postings (term, doc_id, copy_no, tf, doc_len) of a field joined with ``small`` on term.
 
-    A small side that fits is broadcast.  Otherwise both sides are shuffled on
-    the term, and heavy terms on the term and a salt from the document.
+    A small side that fits is broadcast.  Otherwise both sides are shuffled, see
+    ``join_terms``.
     """
     rows = index.postings.filter(F.col("field") == field).select(
         "term", *IDENTITY, "tf", "doc_len"
     )
     if small_fits:
         return rows.join(F.broadcast(small), ["term"])
+    return join_terms(index, rows, small, "doc_id", field)
+
+
+def join_terms(
+    index: Index, rows: DataFrame, table: DataFrame, spread: str, field: str = "contents"
+) -> DataFrame:
+    """``rows`` joined with ``table`` on term; both are shuffled, and no term is a hot key.
+
+    A term of many documents has many rows.  It is dealt into as many shares as its part of
+    the documents is of the shuffle's tasks, by the column ``spread`` of ``rows``, and its
+    rows of ``table`` are copied as often.  Only heavy terms are (see ``_statistics``), so
+    what is broadcast to tell them is bounded.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stats, is_heavy = _statistics(index)
-    heavy = F.broadcast(
-        stats.filter((F.col("field") == field) & is_heavy).select(
-            "term", F.lit(True).alias("heavy")
-        )
-    )
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
-    left = rows.join(heavy, ["term"], "left").withColumn(
-        "salt", F.when(F.col("heavy"), salt).otherwise(0)
-    )
-    copies = F.sequence(F.lit(0), F.when(F.col("heavy"), SALT - 1).otherwise(0))
-    right = small.join(heavy, ["term"], "left").withColumn("salt", F.explode(copies))
-    left, right = left.drop("heavy"), right.drop("heavy")
-    return left.join(right, ["term", "salt"]).drop("salt")
+    shares = F.ceil(F.col("df") * tasks / F.col("n_docs")).cast("int").alias("shares")
+    heavy = F.broadcast(stats.filter((F.col("field") == field) & is_heavy).select("term", shares))
+    n = F.coalesce("shares", F.lit(1))
+    left = rows.join(heavy, ["term"], "left").withColumn("salt", F.pmod(F.xxhash64(spread), n).cast("int"))
+    right = table.join(heavy, ["term"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n - 1)))
+    return left.drop("shares").join(right.drop("shares"), ["term", "salt"]).drop("salt")
 
 
 def at_documents(df: DataFrame, keys: DataFrame) -> DataFrame:

@@ -104,26 +104,27 @@ def _summed(rows: DataFrame, models: Mapping[str, Model]) -> DataFrame:
     return summed.select("topic_id", *IDENTITY, *[from_units(name).alias(name) for name in models])
 
 
-# Tasks' shares of a topic's rows when its best are looked for.
-SALTS = 64
-
-
 def top_m(scored: DataFrame, m: int, by: Sequence[str] = ("topic_id",)) -> DataFrame:
     """Adds ``rank`` and keeps the m best per topic; ties go to the smaller doc_id.
 
-    Spark drops rows before the shuffle only for m up to a thousand or so.  Beyond, the m
-    best are first taken in each of ``SALTS`` shares of a topic, so that one topic's rows
-    are sorted by many tasks, and the last window sees at most m rows of each share.
+    Spark drops rows before the shuffle only for m up to a thousand or so.  Beyond, a first
+    pass finds a floor: of the documents dealt into 4 m blocks, the best of m blocks are m
+    different documents, so nothing behind the m-th of them is among the m best.  Tasks
+    send one row per block, and then little more than m rows of a topic reach the ranking.
     """
-    order = [F.desc("score"), *[c for c in IDENTITY if c in scored.columns]]
+    own = [c for c in IDENTITY if c in scored.columns]
     limit = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if m > limit:
-        share = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
-        part = Window.partitionBy(*by, "share").orderBy(*order)
-        shared = scored.withColumn("share", share).withColumn("place", F.row_number().over(part))
-        scored = shared.filter(F.col("place") <= m).drop("share", "place")
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return ranked.filter(F.col("rank") <= m)
+        # the order of the ranking, as one value that ascends
+        scored = keep(scored.withColumn("place", F.struct((-F.col("score")).alias("score"), *own)), "scored")
+        block = F.pmod(F.xxhash64(*own), F.lit(4 * m)).alias("block")
+        first = scored.groupBy(*by, block).agg(F.min("place").alias("place"))
+        floors = first.groupBy(*by).agg(F.get(F.sort_array(F.collect_list("place")), m - 1).alias("floor"))
+        near = scored.join(F.broadcast(floors) if fits(floors) else floors, list(by))
+        # without a floor fewer than m blocks have documents, so every row may rank
+        scored = near.filter(F.col("floor").isNull() | (F.col("place") <= F.col("floor"))).drop("place", "floor")
+    order = Window.partitionBy(*by).orderBy(F.desc("score"), *own)
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= m)
 
 
 def _floors(index: Index, known: DataFrame, model: Model, m: int, field: str) -> DataFrame:

@@ -11,6 +11,7 @@ from rankspark.operators.index import (
     Index,
     at_documents,
     join_postings,
+    join_terms,
     with_term_statistics,
 )
 from rankspark.operators.weights import weight
@@ -103,7 +104,8 @@ def similar_terms(
     ``doc_id``, on which the written table is bucketed.  Terms that share no
     document have similarity 0 and still rank, in term order; they can only
     appear when a seed has fewer than k neighbours, and then the first 2k terms
-    of the vocabulary are certain to hold enough of them.
+    of the vocabulary are certain to hold enough of them.  A common term is a neighbour
+    of many seeds; its rows are split by seed where it meets its statistics and its norm.
     """
     rows = index.postings.filter(F.col("field") == field).select(*IDENTITY, "term", "tf")
     names = keep(
@@ -137,8 +139,11 @@ def similar_terms(
             .groupBy("seed_term", "term", "tf")
             .agg(F.sum("seed_w").alias("seed_w"))
         )
+        stats = index.term_stats.filter(F.col("field") == field).select("term", "df")
+        totals = index.field_stats.filter(F.col("field") == field).select("n_docs")
         dots = (
-            with_term_statistics(index, by_tf.withColumn("field", F.lit(field)), even=True)
+            join_terms(index, by_tf, stats, "seed_term", field)
+            .withColumn("n_docs", totals.scalar())
             .groupBy("seed_term", "term")
             .agg(F.sum(F.col("seed_w") * weight(scheme)).alias("dot"))
             .filter(F.col("dot") > 0)
@@ -151,7 +156,7 @@ def similar_terms(
         )
     order = Window.partitionBy("seed_term").orderBy(F.desc("similarity"), "term")
     near = (
-        lookup_join(dots.join(norms, "term"), seed_norms, ["seed_term"], "term", small)
+        lookup_join(join_terms(index, dots, norms, "seed_term", field), seed_norms, ["seed_term"], "term", small)
         .select(
             "seed_term",
             "term",

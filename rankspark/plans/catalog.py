@@ -687,3 +687,31 @@ def compare_systems(spark, sf):
         w.select("metric", F.col("p").alias("p_w"), F.col("significant").alias("w_significant")),
         "metric",
     )
+
+
+@query
+def compare_all_pairs(spark, sf):
+    """Three systems, both tuned models and tf-idf, compared two by two, per metric, in one job."""
+    c = collection(spark, sf)
+    train, test = _tuned(spark, sf, "jm", "dir")
+    run = retrieve.search(c.index, c.terms, TFIDF, CUT)
+    untuned = evaluate.topic_metrics(run, c.qrels, c.topics, CUT).filter(F.col("topic_id") > _middle(c))
+    columns = ("model", "topic_id", "value", "metric")
+    by_metric = [
+        tuning.holdout(train, test, metric).withColumn("metric", F.lit(metric)).select(*columns)
+        for metric in evaluate.METRICS
+    ] + [
+        untuned.select(F.lit("tfidf"), "topic_id", F.coalesce(metric, F.lit(0.0)), F.lit(metric)).toDF(*columns)
+        for metric in evaluate.METRICS
+    ]
+    vectors = by_metric[0]
+    for more in by_metric[1:]:
+        vectors = vectors.unionByName(more)
+    keys = ["metric", "system_a", "system_b"]
+    vectors = keep(vectors, "system-vectors")
+    pairs = keep(significance.all_pairs(vectors, by=["metric"]), "all-pairs")
+    t = significance.paired_t_test(pairs, ALPHA, by=keys)
+    w = significance.wilcoxon_test(pairs, ALPHA, "auto", by=keys)
+    return t.select(*keys, "n", F.col("p").alias("p_t"), F.col("significant").alias("t_significant")).join(
+        w.select(*keys, F.col("p").alias("p_w"), F.col("significant").alias("w_significant")), keys
+    )

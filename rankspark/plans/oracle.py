@@ -262,6 +262,26 @@ TABLES |= {
 }
 
 
+TABLES |= {
+    "tfrun": _run(TFIDF, cat.CUT),
+    "tfmet": _metrics("tfrun", "qrels", "topics", cat.CUT),
+    "heldtf": "SELECT metric, model, topic_id, value FROM held UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '{name}', 'tfidf', topic_id, coalesce({name}, 0) FROM tfmet WHERE topic_id > {_split(0.5)}"
+        for name in ("P", "R", "MAP")
+    ),
+    # the metric and the two systems in one name
+    "pairs3": "SELECT x.metric || '|' || x.model || '|' || y.model AS metric, x.topic_id, x.value AS a, y.value AS b "
+    "FROM heldtf x JOIN heldtf y ON x.metric = y.metric AND x.topic_id = y.topic_id AND x.model < y.model",
+    "tt3": _ttest("pairs3"),
+    "sr3": _signed_ranks("pairs3"),
+    "subsets3": "SELECT n, (SELECT sum(CASE WHEN (i >> (r - 1)) & 1 = 1 THEN r ELSE 0 END) FROM "
+    "range(1, n + 1) t(r)) AS s FROM (SELECT DISTINCT n FROM sr3), range(0, 1 << 20) u(i) WHERE i < (1 << n)",
+    "sw3": "SELECT sr3.*, 2 * (SELECT count(*) FROM subsets3 u WHERE u.n = sr3.n AND u.s >= sr3.w) "
+    "/ (1 << sr3.n) AS p FROM sr3",
+}
+
+
 def _sql(body: str, given: dict[str, str] | None = None) -> str:
     """``body`` preceded by the named tables it needs."""
     known = TABLES | (given or {})
@@ -542,4 +562,10 @@ ORACLE: dict[str, str] = {
         f"SELECT metric, tt2.n, round(tt2.p, 6) AS p_t, tt2.p <= {cat.ALPHA} AS t_significant, "
         f"round(sw.p, 6) AS p_w, sw.p <= {cat.ALPHA} AS w_significant FROM tt2 JOIN sw USING (metric)"
     ),
+    "compare_all_pairs": _sql(
+        "SELECT split_part(metric, '|', 1) AS metric, split_part(metric, '|', 2) AS system_a, "
+        "split_part(metric, '|', 3) AS system_b, tt3.n, round(tt3.p, 6) AS p_t, "
+        f"tt3.p <= {cat.ALPHA} AS t_significant, round(sw3.p, 6) AS p_w, sw3.p <= {cat.ALPHA} AS w_significant "
+        "FROM tt3 JOIN sw3 USING (metric)"
+    ),
 }

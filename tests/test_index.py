@@ -268,3 +268,23 @@ def test_buckets_go_by_the_text(spark):
     docs = spark.createDataFrame(MICRO, DOC)
     twice = docs.join(docs.select("doc_id", F.lit(1).alias("x")), "doc_id")
     assert ix.default_buckets(twice) == ix.default_buckets(docs)
+
+
+def scanned_rows(df):
+    """Rows that the scan of a table gave."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_a_lookup_of_an_absent_keyword_reads_no_row_group(spark):
+    """Also where the value lies between the least and the largest of the column."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('dir/', id * 2, '-', repeat('x', 40)) AS path", "'a b' AS text")
+    index = ix.write_index(docs, fresh_folder(spark, "bloom"), buckets=2)
+    value = "dir/{}-" + "x" * 40
+    present = ix.keyword_filter(index.docs, "path", value.format(2468)).select("doc_id")
+    absent = ix.keyword_filter(index.docs, "path", value.format(2469)).select("doc_id")
+    assert [r.doc_id for r in present.collect()] == [1234] and absent.collect() == []
+    assert scanned_rows(absent) == 0
+    # the row groups of the other bucket are passed over as well
+    assert 0 < scanned_rows(present) < 20_000

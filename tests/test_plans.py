@@ -179,16 +179,21 @@ def test_scores_are_bounded_by_the_statistics(spark, c):
         assert rows_.filter(model.contribution() > model.bound() + 1e-9).count() == 0
 
 
-def test_top_m_beyond_the_window_limit(spark):
-    """Past Spark's own limit the m best are first taken share by share."""
-    scored = spark.range(20_000).select(
-        (F.col("id") % 2).alias("topic_id"), F.col("id").alias("doc_id"), (F.col("id") % 97).cast("double").alias("score")
-    )
+@pytest.mark.parametrize("kinds", [97, 1])
+def test_top_m_beyond_the_window_limit(spark, monkeypatch, kinds):
+    """Past Spark's own limit only rows at or above an exact floor are ranked, ties or not."""
+    scored = spark.range(40_000).select(
+        (F.col("id") % 2).alias("topic_id"), F.col("id").alias("doc_id"), (F.col("id") % kinds).cast("double").alias("score")
+    ).union(spark.range(5).selectExpr("7L", "id", "1.0D"))
+    ranked = []
+    monkeypatch.setattr(retrieve, "keep", lambda df, label: ranked.append(df) or session.keep(df, label))
     got = retrieve.top_m(scored, 1500)
-    want = [(t, i, s) for t in (0, 1) for s, i in sorted(((float(i % 97), i) for i in range(20_000) if i % 2 == t), key=lambda r: (-r[0], r[1]))[:1500]]
-    assert sorted((r.topic_id, r.doc_id, r.score) for r in got.collect()) == sorted(want)
+    window = plan(got)
+    want = [(t, i, s) for t in (0, 1) for s, i in sorted(((float(i % kinds), i) for i in range(40_000) if i % 2 == t), key=lambda r: (-r[0], r[1]))[:1500]]
+    assert sorted((r.topic_id, r.doc_id, r.score) for r in got.collect()) == sorted([*want, *[(7, i, 1.0) for i in range(5)]])
     assert sorted(r["rank"] for r in got.filter("topic_id = 1").collect()) == list(range(1, 1501))
-    assert plan(got).count("Window [row_number()") == 2 and plan(retrieve.top_m(scored, 10)).count("Window [row_number()") == 1
+    assert len(ranked) == 1 and "floor" in window
+    assert "floor" not in plan(retrieve.top_m(scored, 10)) and len(ranked) == 1
 
 
 def test_tuning_reads_the_postings_once(spark, c):
@@ -214,3 +219,25 @@ def test_sums_out_of_range_raise(spark, ansi):
                 total(values(*bad))
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_a_term_of_every_document_is_no_hot_key(spark, c):
+    """Its rows are dealt out by seed, as many shares as there are shuffle tasks."""
+    docs = [(i, f"every w{i % 50} v{i % 7}") for i in range(400)]
+    index = ix.write_index(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), session.fresh_folder(spark, "hot"), buckets=2)
+    seeds = [f"w{i}" for i in range(50)]
+    rows_ = spark.createDataFrame([(t, s) for s in seeds for t in ("every", s)], "term STRING, seed_term STRING")
+    table = index.term_stats.filter("field = 'contents'").select("term", "df")
+    joined = ix.join_terms(index, rows_, table.hint("merge"), "seed_term")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # rows of the common term in each task
+        held = joined.filter("term = 'every'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert joined.count() == 100 and sum(r["count"] for r in held) == 50
+    assert len(held) > 1 and max(r["count"] for r in held) < 50 and tasks == 4
+    asked = spark.createDataFrame([(s,) for s in seeds], "term STRING")
+    near = similar.similar_terms(index, asked, "tfxidf", k=3)
+    assert near.count() == 150
