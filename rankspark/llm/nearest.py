@@ -53,13 +53,33 @@ def tile_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
+def block_unit(*blocks: np.ndarray) -> float:
+    """1, or for components beyond 2**500 a power of two near the largest."""
+    largest = max(float(np.abs(b).max(initial=0.0)) for b in blocks)
+    return 1.0 if largest < 2.0**500 else 2.0 ** np.floor(np.log2(largest))
+
+
+def distances(x: np.ndarray, q: np.ndarray, unit: float) -> np.ndarray:
+    """Euclidean distances in double precision; the unit only keeps squares in range."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        plain = np.sqrt(((x - q) ** 2).sum(axis=1))
+    if unit == 1.0:
+        return plain
+    scaled = np.sqrt((((x / unit) - (q / unit)) ** 2).sum(axis=1)) * unit
+    return np.where(np.isfinite(plain), plain, scaled)
+
+
 def nearest_in_tile(q_ids, q, ids, x, k: int) -> Iterator[tuple[int, float, int]]:
     """The k nearest rows of ``x`` for each row of ``q`` as (query, distance, id)."""
-    qc, qs, qn, qe = quantise(q)
-    xc, xs, xn, xe = quantise(x)
+    # bounds are taken of components scaled by a power of two, so that no square overflows
+    unit = block_unit(q, x)
+    qc, qs, qn, qe = quantise(q / unit)
+    xc, xs, xn, xe = quantise(x / unit)
     dots = tile_product(qc, xc) * qs[:, None] * xs[None, :]
     middle = np.sqrt(np.maximum(qn[:, None] ** 2 + xn[None, :] ** 2 - 2 * dots, 0))
-    error = qe[:, None] + xe[None, :] + 1e-7 * (qn[:, None] + xn[None, :]) + 1e-300
+    error = qe[:, None] + xe[None, :] + 1e-7 * (qn[:, None] + xn[None, :])
+    # what squares lose below the least double
+    error += 1e-300 if unit == 1.0 else 1e-150
     for i, query in enumerate(q_ids):
         upper = middle[i] + error[i]
         own = ids == query
@@ -69,7 +89,7 @@ def nearest_in_tile(q_ids, q, ids, x, k: int) -> Iterator[tuple[int, float, int]
             continue
         bound = np.partition(upper, k - 1)[k - 1] if others >= k else np.inf
         keep = np.flatnonzero((middle[i] - error[i] <= bound) & ~own)
-        exact = np.sqrt(((x[keep] - q[i]) ** 2).sum(axis=1))
+        exact = distances(x[keep], q[i], unit)
         for d, key in heapq.nsmallest(k, zip(exact.tolist(), ids[keep].tolist(), strict=True)):
             yield int(query), d, key
 
@@ -118,7 +138,7 @@ def nearest(
     Distance is Euclidean in double precision, ties go to the smaller id.  A query
     never meets rows of its own id.  Rows whose id is null or whose vector is not
     :func:`usable` take no part on either side; vectors of another length than the
-    query's are no candidates.  Ids that occur more than once are rows of their own
+    query's are no candidates.  Components may have any finite size.  Ids that occur more than once are rows of their own
     (equal queries are asked once).  Empty tables give an empty result; other columns
     are ignored.  Blocks are sized by row counts, so their number grows with the
     data and a task's memory does not.

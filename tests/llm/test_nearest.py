@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from rankspark.llm import nearest as nn
 
@@ -27,6 +29,19 @@ def test_equals_brute_force(spark):
     assert nn.nearest(table, asked.limit(0), k=5).count() == 0
 
 
+def test_components_of_any_size(spark):
+    """Squares that overflow or vanish beside others lose no candidate."""
+    rows = [(0, [1e200, 0.0, 0.0]), (1, [1e200, 1e199, 0.0]), (2, [-1e200, 0.0, 1e200]), (3, [1.0, 2.0, 3.0])]
+    rows += [(4, [1.0, 2.0, 3.5]), (5, [1e40, 2.0, 3.0]), (6, [1.0, -2.0, 3.0]), (7, [1e-5, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nn.nearest(table, table, k=5).orderBy("query_id", "rank").collect()
+    for q, v in rows:
+        want = sorted((math.dist(v, w), i) for i, w in rows if i != q)[:5]
+        own = [r for r in got if r.query_id == q]
+        assert np.allclose([r.score for r in own], [d for d, _ in want], rtol=1e-12, atol=0)
+        assert [r.vec_id for r in own] == [i for _, i in want]
+
+
 def test_int8_bounds_hold():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(40, 1500))
