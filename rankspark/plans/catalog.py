@@ -86,8 +86,11 @@ def _key_in_path():
 
 @query
 def file_scan(spark, sf):
-    """Writes every document as a file and reads the tree back."""
-    root = _tree(table(spark, sf, "documents"), "tree")
+    """Writes every document as a file, most of them below a folder that Spark's own readers
+    pass over, and reads the tree back."""
+    docs = table(spark, sf, "documents")
+    root = _tree(docs.filter(F.col("lang") == "en"), "tree")
+    files.write_tree(docs.filter(~F.col("lang").eqNullSafe("en")), f"{root}/_more/.hidden")
     scanned = _documents_of(files.scan_tree(spark, root))
     return scanned.select(
         _key_in_path(), "size_kb", analysis.normalized(F.col("text")).alias("contents")

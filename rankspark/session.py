@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows, and bytes by the schema's row size, that a side sent whole to every executor may hold.
+# Rows and bytes that a side sent whole to every executor may hold.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 # Copies of the small side in a salted join.
@@ -39,13 +40,26 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/rankspark/{label}-{uuid.uuid4().hex}"
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a column's value: counted for what may be long, by the type for the rest."""
+    name, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return F.greatest(F.size(name), F.lit(0)) * 8 + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(name))) + 16
+    return F.lit(8)
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True if ``df`` has at most ``max_rows`` rows and about ``BROADCAST_BYTES`` bytes.
 
-    Counted by task; no rows are moved.
+    Both are counted by task; no rows are moved.
     """
-    width = max(1, df._jdf.schema().defaultSize())
-    return df.count() <= min(max_rows, BROADCAST_BYTES // width)
+    width = sum((_width(f).cast("long") for f in df.schema.fields), F.lit(0).cast("long"))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= BROADCAST_BYTES
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

@@ -241,3 +241,15 @@ def test_a_term_of_every_document_is_no_hot_key(spark, c):
     asked = spark.createDataFrame([(s,) for s in seeds], "term STRING")
     near = similar.similar_terms(index, asked, "tfxidf", k=3)
     assert near.count() == 150
+
+
+def test_broadcasts_are_bounded_by_real_bytes(spark, monkeypatch):
+    """Few rows of long values do not fit, many of short ones do."""
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 100_000)
+    long_ones = spark.range(20).selectExpr("id", "repeat('x', 10000) AS text")
+    assert not session.fits(long_ones) and session.fits(long_ones.select("id"))
+    assert session.fits(spark.range(2000).selectExpr("id", "'ab' AS text"))
+    assert not session.fits(spark.range(2000).selectExpr("id", "sequence(1, 20) AS list"))
+    assert not session.fits(spark.range(2000).selectExpr("id", "array(struct(repeat('y', 90) AS s)) AS nested"))
+    assert session.fits(spark.range(10)) and not session.fits(spark.range(10), 9)
+    assert session.fits(spark.range(0).selectExpr("id", "CAST(NULL AS STRING) AS s"))
