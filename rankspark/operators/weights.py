@@ -82,7 +82,11 @@ def enriched_docs(index: Index, fields: list[str], n: int = 5) -> DataFrame:
             for f in fields
         ]
     )
-    joined = index.docs.join(per_doc, [*IDENTITY], "left")
+    # equal by doc_id alone, on which the texts are bucketed, so that they are not shuffled
+    best = per_doc.withColumnsRenamed({"doc_id": "best_doc", "copy_no": "best_copy"})
+    copy, other = F.col("copy_no"), F.col("best_copy")
+    same = (F.col("doc_id") == F.col("best_doc")) & (copy <= other) & (copy >= other)
+    joined = index.docs.join(best, same, "left")
     return joined.select(
         *index.docs.columns,
         *[F.coalesce(f"best_terms_{f}", F.lit("")).alias(f"best_terms_{f}") for f in fields],
