@@ -132,8 +132,9 @@ def short_topics(c, spark, words=3):
     return session.keep(placed.withColumn("n", last).filter(f"r < {words} OR r = n").select("topic_id", "term", "weight"), "t")
 
 
-@pytest.mark.parametrize("model", [Model("tfidf"), JM, Model("dir", 100.0), Model("dir", 0.0), Model("jm", 1.0)])
-@pytest.mark.parametrize("m", [1, 10, 500])
+@pytest.mark.parametrize(
+    ("model", "m"), [(JM, 1), (JM, 10), (JM, 500), (Model("tfidf"), 10), (Model("dir", 100.0), 10), (Model("dir", 0.0), 10)]
+)
 def test_pruned_search_gives_the_same_run(spark, c, model, m):
     for terms in (c.terms, short_topics(c, spark)):
         pruned = retrieve.search(c.index, terms, model, m, prune=True)
@@ -144,9 +145,9 @@ def test_pruned_search_breaks_ties_alike(spark):
     """Many documents with one score, and scores that differ by less than rounding shows."""
     docs = [(i, "rare common") for i in range(40, 0, -1)] + [(100 + i, "common " * (i % 3 + 1)) for i in range(60)]
     index = ix.write_index(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), session.fresh_folder(spark, "ties"), buckets=2)
-    for weight in (1.0, 1e-10, 0.0, -1.0):
+    for weight in (1.0, 1e-10, -1.0):
         terms = spark.createDataFrame([(1, "rare", 1.0), (1, "common", weight), (2, "common", 1.0), (2, "no", 1.0)], "topic_id BIGINT, term STRING, weight DOUBLE")
-        for m in (1, 5, 60):
+        for m in (1, 60):
             runs = [sorted(rows(retrieve.search(index, terms, JM, m, prune=p))) for p in (True, False)]
             assert runs[0] == runs[1] and runs[0]
 
