@@ -30,14 +30,15 @@ def units(x: Column) -> Column:
 
 
 def total_units(x: Column) -> Column:
-    """Sum of BIGINT units that are not NULL; NULL means that it left their range."""
-    return F.try_sum(x)
+    """Sum of BIGINT units of at least one row, none of them NULL; one that leaves their range raises."""
+    whole = F.try_sum(x)
+    problem = F.raise_error(F.lit("sum of scores leaves the range of BIGINT"))
+    return F.when(whole.isNull(), problem.cast("bigint")).otherwise(whole)
 
 
 def from_units(name: str) -> Column:
-    """A sum of units as a double, rounded like ``rank_key`` in whole numbers; one out of range raises."""
-    problem = F.raise_error(F.lit("sum of scores leaves the range of BIGINT")).cast("double")
-    return F.when(F.col(name).isNull(), problem).otherwise(F.expr(f"(`{name}` + 50) div 100") / F.lit(1e9))
+    """A sum of units as a double, rounded like ``rank_key`` in whole numbers."""
+    return F.expr(f"(`{name}` + 50) div 100") / F.lit(1e9)
 
 
 def exact_sum(x: Column) -> Column:
