@@ -29,7 +29,7 @@ class Shard:
 
 def ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     fresh = np.ones(len(keys), np.int64)
     fresh[0] = 0
     fresh[1:] = keys[order[1:]] != keys[order[:-1]]
@@ -63,7 +63,7 @@ def build_shard(text: np.ndarray, sizes: np.ndarray) -> Shard:
         follow = np.where(later < end, rank[np.minimum(later, n - 1)] + 1, 0)
         rank = ranks(rank * (n + 2) + follow)
         step *= 2
-    place = np.argsort(rank, kind="stable")
+    place = np.argsort(rank)
     where = np.empty(n, np.int64)
     where[place] = at
     begin = end - np.repeat(sizes + 1, sizes + 1)

@@ -10,9 +10,9 @@ earlier (smaller doc_id, or same text and earlier place).
    text that holds all windows of the anchor is put out, with its hash; all but the first
    occurrence of a stretch are repeats as a whole.
 3. Where one anchor value has several different stretches, the bytes of the first
-   occurrences are fetched, their suffixes are sorted shard by shard and the shards' transforms merged (:mod:`rankspark.llm.bwt`), which
-   gives the intervals of equal windows.  A value with very many stretches is split by
-   the contents of its windows.
+   occurrences are fetched, their suffixes are sorted shard by shard and the shards'
+   transforms merged (:mod:`rankspark.llm.bwt`), which gives the intervals of equal
+   windows.  The windows of a value with very many stretches are grouped by Spark instead.
 4. The spans found are joined with their texts and cut out.
 """
 
@@ -27,55 +27,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankspark.llm import bitmap, bwt
-from rankspark.llm.columns import BASE, MIX_B, U64, chunks, mix, powers, text_bytes
-from rankspark.session import keep
+from rankspark.llm.columns import BASE, MIX_A, MIX_B, U64, chunks, mix, powers, text_bytes
+from rankspark.session import fits, keep, lookup_join
 
 GRAM = 32
-# windows of one anchor value that a task may hold, bytes of a shard, bytes merged at once
-MOST_WINDOWS, SHARD_BYTES, MERGE_BYTES = 1 << 19, 1 << 17, 1 << 20
+# bytes looked at together; places in them have 32 bits
+CHUNK_BYTES, LAST_PLACE = 1 << 17, 2**32 - 1
+# windows of one anchor value that a merge may hold, bytes of a shard, bytes merged at once
+MOST_WINDOWS, SHARD_BYTES, MERGE_BYTES = 1 << 19, 1 << 17, 1 << 19
 LAST_ID = 2**63 - 1
 
 
-def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hashes of all runs of GRAM bytes, by doubling."""
+def gram_sums(raw: np.ndarray) -> np.ndarray:
+    """Polynomials over all runs of GRAM bytes, by doubling; :func:`mix` makes hashes of them."""
     out, width = raw.astype(np.uint64) + U64(1), 1
     with np.errstate(over="ignore"):
         factor = BASE
         while width < GRAM:
-            out = out[:-width] * factor + out[width:]
-            factor = factor * factor
+            wider = out[:-width] * factor
+            wider += out[width:]
+            out, factor = wider, factor * factor
             width *= 2
-    return mix(out)
+    return out
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray, length: int):
-    """(hash, place, first start, last start, text) of every run of windows with one anchor."""
+    """(hash, place, first start, last start, text) of every run of windows with one anchor.
+
+    The anchor of a window is its k-gram of least rank, the rightmost among equal ranks.
+    One 64-bit word holds the rank (upper half) and the place counted from the right, so
+    that a plain minimum finds both.
+    """
     width = length - GRAM + 1
-    if len(raw) < length:
+    counts = np.maximum(np.diff(offsets) - length + 1, 0)
+    if not counts.any():
         return (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 4
-    keys = gram_hashes(raw)
-    # the rightmost least key of each window, by doubling
-    best, step = np.arange(len(keys), dtype=np.int64), 1
-    low = keys
+    sums = gram_sums(raw)
+    low = sums * MIX_A
+    low &= U64(LAST_PLACE << 32)
+    low |= np.arange(LAST_PLACE, LAST_PLACE - len(low), -1, dtype=np.uint64)
+    # the least word of each window, by doubling
+    step = 1
     while step < width:
         hop = min(step, width - step)
-        right = low[hop:] <= low[:-hop]
-        best = np.where(right, best[hop:], best[:-hop])
-        low = np.where(right, low[hop:], low[:-hop])
+        low = np.minimum(low[hop:], low[:-hop])
         step += hop
     # windows that lie in one text
-    counts = np.maximum(np.diff(offsets) - length + 1, 0)
     before = np.cumsum(counts) - counts
     starts = np.arange(int(counts.sum()), dtype=np.int64) + np.repeat(offsets[:-1] - before, counts)
-    if not len(starts):
-        return (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 4
-    at = best[starts]
-    fresh = np.ones(len(at), bool)
-    fresh[1:] = (at[1:] != at[:-1]) | (np.diff(starts) != 1)
+    low = low[starts]
+    fresh = np.empty(len(low), bool)
+    np.not_equal(low[1:], low[:-1], out=fresh[1:])
+    fresh[before[counts > 0]] = True
     begin = np.flatnonzero(fresh)
-    end = np.append(begin[1:], len(at)) - 1
+    end = np.append(begin[1:], len(low)) - 1
+    at = LAST_PLACE - (low[begin] & U64(LAST_PLACE)).astype(np.int64)
     text = np.searchsorted(offsets, starts[begin], side="right") - 1
-    return keys[at[begin]], at[begin], starts[begin], starts[end], text
+    return mix(sums[at]), at, starts[begin], starts[end], text
 
 
 def _anchor_task(length: int):
@@ -85,7 +93,7 @@ def _anchor_task(length: int):
         for batch in batches:
             raw, offsets = text_bytes(batch.column(0))
             content = batch.column(1).to_numpy()
-            for a, b in chunks(offsets):
+            for a, b in chunks(offsets, CHUNK_BYTES):
                 lo = offsets[a]
                 value, _, _, _, text = anchors(raw[lo : offsets[b]], offsets[a : b + 1] - lo, length)
                 if not len(value):
@@ -102,12 +110,22 @@ def _anchor_task(length: int):
     return work
 
 
-def stretch_keys(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+class StretchKeys:
     """Hashes of the stretches raw[begin:end], which may overlap, from sums over all bytes."""
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + U64(1)) * powers(BASE, len(raw)), out=total[1:])
-    back = powers(U64(pow(int(BASE), -1, 2**64)), len(raw))
-    return mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64) * MIX_B)
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        n = len(raw)
+        if len(self.up) < n:
+            self.up, self.down = powers(BASE, n), powers(U64(pow(int(BASE), -1, 2**64)), n)
+        terms = raw.astype(np.uint64)
+        terms += U64(1)
+        terms *= self.up[:n]
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(terms, out=total[1:])
+        return mix((total[end] - total[begin]) * self.down[begin] + (end - begin).astype(np.uint64) * MIX_B)
 
 
 def identity(anchor: np.ndarray, key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -125,10 +143,11 @@ def _stretch_task(sent, length: int, firsts=None):
     """The places of the stretches of repeated anchors; with ``firsts`` the bytes of those in that map."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch_keys = StretchKeys()
         for batch in batches:
             raw, offsets = text_bytes(batch.column(0))
             content, doc = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            for a, b in chunks(offsets):
+            for a, b in chunks(offsets, CHUNK_BYTES):
                 lo = offsets[a]
                 part = raw[lo : offsets[b]]
                 value, _, first, last, text = anchors(part, offsets[a : b + 1] - lo, length)
@@ -163,26 +182,28 @@ def _stretch_task(sent, length: int, firsts=None):
 def _merge_task(length: int):
     """Spans of windows that start earlier in another stretch of the same cell; rows come sorted by cell."""
 
-    def spans(cells: list, stretches: list, doc, content, at) -> Iterator[tuple]:
-        sizes = np.array([len(s) for s in stretches], np.int64)
+    def spans(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        text, sizes, doc, content, at = (np.concatenate(column) for column in zip(*held, strict=True))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
         shards, parts = [], []
         # every shard is sorted by itself
-        cut = np.flatnonzero(np.diff(np.cumsum(sizes) // SHARD_BYTES, prepend=0)).tolist()
+        cut = np.flatnonzero(np.diff(bounds[1:] // SHARD_BYTES, prepend=0)).tolist()
         for a, b in zip([0, *cut], [*cut, len(sizes)], strict=True):
             if b > a:
-                shards.append(bwt.build_shard(np.frombuffer(b"".join(stretches[a:b]), np.uint8), sizes[a:b]))
+                shards.append(bwt.build_shard(text[bounds[a] : bounds[b]], sizes[a:b]))
                 parts.append(sizes[a:b])
         string, start, block = bwt.merge_repeats(shards, parts, length)
         if not len(string):
             return
-        doc, content, at = (np.array(c, np.int64) for c in (doc, content, at))
+        place = at[string] + start
         # blocks hold windows of one content: the earliest start is the one that stays
-        order = np.lexsort((at[string] + start, content[string], doc[string], block))
-        string, start, block = string[order], start[order], block[order]
+        order = np.lexsort((place, content[string], doc[string], block))
+        string, place, block = string[order], place[order], block[order]
         first = np.ones(len(block), bool)
         first[1:] = block[1:] != block[:-1]
         head = np.maximum.accumulate(np.where(first, np.arange(len(block)), 0))
-        place = at[string] + start
         same = (doc[string] == doc[string[head]]) & (content[string] == content[string[head]]) & (place == place[head])
         string, place = string[~same], place[~same]
         order = np.lexsort((place, string))
@@ -191,61 +212,74 @@ def _merge_task(length: int):
         fresh[1:] = (string[1:] != string[:-1]) | (np.diff(place) != 1)
         begin = np.flatnonzero(fresh)
         stop = np.append(begin[1:], len(string)) - 1
-        for i, j in zip(begin.tolist(), stop.tolist(), strict=True):
-            s = string[i]
-            yield int(doc[s]), int(content[s]), int(place[i]), int(place[j]) + length
+        owner = string[begin]
+        columns = [doc[owner], content[owner], place[begin].astype(np.int32), (place[stop] + length).astype(np.int32)]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc", "content", "start", "end"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], [], []]
-        size = 0
-
-        def done() -> Iterator[pa.RecordBatch]:
-            out = list(spans(*held)) if held[0] else []
-            for at in range(0, len(out), 10_000):
-                columns = zip(*out[at : at + 10_000], strict=True)
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc", "content", "start", "end"]
-                )
-
+        held: list[tuple] = []
+        size, last = 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                # cells may share a merge, but none is torn apart
-                if size > MERGE_BYTES and row[0] != held[0][-1]:
-                    yield from done()
-                    held, size = [[], [], [], [], []], 0
-                for column, value in zip(held, row, strict=True):
-                    column.append(value)
-                size += len(row[1])
-        yield from done()
+            if not batch.num_rows:
+                continue
+            cell = batch.column(0).to_numpy()
+            raw, offsets = text_bytes(batch.column(1))
+            others = [batch.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4)]
+            # cells may share a merge, but none is torn apart
+            begin = (np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist()
+            if last is not None and cell[0] != last:
+                begin = [0, *begin]
+            at = 0
+            for cut in [*begin, len(cell)]:
+                size += int(offsets[cut] - offsets[at])
+                if cut > at:
+                    rows = (raw[offsets[at] : offsets[cut]], np.diff(offsets[at : cut + 1]), *(c[at:cut] for c in others))
+                    held.append(rows)
+                if size > MERGE_BYTES and cut < len(cell):
+                    yield from spans(held)
+                    held, size = [], 0
+                at = cut
+            last = cell[-1]
+        yield from spans(held)
 
     return work
 
 
-def cell_table(stretches: DataFrame, split: DataFrame, length: int) -> DataFrame:
-    """(cell, stretch, doc, content, at): the stretches of an anchor value, or parts of them.
+def hot_repeats(stretches: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of anchor values that have too many stretches for one merge.
 
-    ``split`` holds (anchor, parts) of values with more than MOST_WINDOWS windows.  They
-    are dealt out window by window, by a hash of the window: equal windows still meet, and
-    no task has to hold the whole value.
+    Equal windows are grouped by Spark, which counts them before they are shuffled, and
+    only the first place of those that repeat is joined with the others.  So a line that
+    stands in any number of texts never comes together in one task.  Windows are told
+    apart by 128 bits of hash, as equal stretches are.
     """
-    windows = F.octet_length("stretch") - (length - 1)
-    # the first window and the bytes of each part: the whole stretch, or every window
-    starts = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), windows - 1))
-    width = F.when(F.col("parts").isNull(), F.octet_length("stretch")).otherwise(F.lit(length))
-    part = F.substring("stretch", F.col("start") + 1, F.col("width"))
-    by_content = F.xxhash64("anchor", F.pmod(F.xxhash64("part"), F.col("parts")))
+    part = F.substring("stretch", F.col("start") + 1, F.lit(length))
+    windows = stretches.select(
+        "anchor",
+        "stretch",
+        "doc",
+        "content",
+        "at",
+        F.explode(F.sequence(F.lit(0), F.octet_length("stretch") - length)).alias("start"),
+    ).select(
+        F.xxhash64("anchor", part).alias("one"),
+        F.xxhash64(part, "anchor").alias("two"),
+        "doc",
+        "content",
+        (F.col("at") + F.col("start")).alias("at"),
+    )
+    place = F.struct("doc", "content", "at")
+    firsts = keep(
+        windows.groupBy("one", "two")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("one", "two", "first"),
+        "suffix-hot",
+    )
     return (
-        stretches.join(split, "anchor", "left")
-        .select("anchor", "parts", "stretch", "doc", "content", "at", width.alias("width"), F.explode(starts).alias("start"))
-        .select("anchor", "parts", part.alias("part"), "doc", "content", (F.col("at") + F.col("start")).alias("at"))
-        .select(
-            F.when(F.col("parts").isNull(), F.col("anchor")).otherwise(by_content).alias("cell"),
-            F.col("part").alias("stretch"),
-            "doc",
-            "content",
-            "at",
-        )
+        lookup_join(windows, firsts, ["one", "two"], spread="doc")
+        .filter(place != F.col("first"))
+        .select("doc", "content", F.col("at").alias("start"), (F.col("at") + length).alias("end"))
     )
 
 
@@ -298,11 +332,12 @@ def repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         .select("doc", "content", F.col("at").alias("start"), (F.col("at") + F.col("width")).alias("end"))
     )
     # anchors with several stretches: the first occurrence of each goes on with its bytes
-    several = (
+    several = keep(
         distinct.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("stretches"), F.sum(F.col("width") - (length - 1)).alias("windows"))
         .filter("stretches > 1")
-        .select("anchor", "windows")
+        .select("anchor", "windows"),
+        "suffix-several",
     )
     chosen = distinct.join(several, "anchor").select("anchor", "key", "doc", "at")
     firsts_map = bitmap.value_map(chosen.mapInArrow(_identity_task, "value long"), "value")
@@ -310,12 +345,16 @@ def repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         _stretch_task(sent, length, spark.sparkContext.broadcast(firsts_map)),
         "anchor long, stretch binary, doc long, content long, at int",
     )
-    split = several.filter(F.col("windows") > MOST_WINDOWS).select(
-        "anchor", F.ceil(F.col("windows") / MOST_WINDOWS).cast("int").alias("parts")
-    )
-    dealt = cell_table(bytes_of, split, length).repartition("cell").sortWithinPartitions("cell", "doc", "content", "at")
+    found_spans = later
+    hot = several.filter(F.col("windows") > MOST_WINDOWS).select("anchor")
+    if not hot.isEmpty():
+        bytes_of = keep(bytes_of, "suffix-bytes")
+        few = fits(hot)
+        found_spans = later.unionByName(hot_repeats(lookup_join(bytes_of, hot, ["anchor"], spread="doc", small_fits=few), length))
+        bytes_of = bytes_of.join(F.broadcast(hot) if few else hot, "anchor", "left_anti")
+    dealt = bytes_of.repartition("anchor").sortWithinPartitions("anchor", "doc", "content", "at")
     merged = dealt.mapInArrow(_merge_task(length), "doc long, content long, start int, end int")
-    return later.unionByName(merged)
+    return found_spans.unionByName(merged)
 
 
 def _cut_task(names: list[str], with_text: bool):

@@ -73,3 +73,38 @@ def test_removed_bytes(spark, docs, corpus):
 def test_hot_values_are_split(spark, docs, corpus, monkeypatch):
     monkeypatch.setattr(suffixes, "MOST_WINDOWS", 50)
     check(spark, docs, corpus, 40)
+
+
+def test_a_line_with_other_neighbours_everywhere(spark, monkeypatch):
+    """One line in every text: its windows are grouped before they meet, in parts on both join paths."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    line = " ".join(word() for _ in range(19))
+    texts = [" ".join([*(word() for _ in range(12)), line, *(word() for _ in range(12))]) for _ in range(150)]
+    corpus = list(enumerate([*texts, texts[3], line, "", None]))
+    table = spark.createDataFrame(corpus, "doc_id long, text string")
+    monkeypatch.setattr(suffixes, "MOST_WINDOWS", 300)
+    check(spark, table, corpus, 100)
+    monkeypatch.setattr("rankspark.session.BROADCAST_ROWS", 0)
+    monkeypatch.setattr(suffixes, "fits", lambda small: False)
+    monkeypatch.setattr("rankspark.session.fits", lambda small: False)
+    check(spark, table, corpus, 100)
+
+
+def test_anchors_go_by_content():
+    """Equal windows have their anchor at one offset, wherever they stand; a run of one letter as well."""
+    rng = np.random.default_rng(4)
+    same = rng.integers(97, 101, 160, dtype=np.uint8)
+    same[60:] = 97
+    texts = [np.concatenate([rng.integers(97, 123, n, dtype=np.uint8), same]) for n in (0, 7, 300)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    value, at, first, last, text = suffixes.anchors(np.concatenate(texts), offsets, 100)
+    seen = {}
+    for v, a, f, e, t in zip(*(c.tolist() for c in (value, at, first, last, text)), strict=True):
+        for start in range(f, e + 1):
+            inner = start - (offsets[t + 1] - 160)
+            if inner >= 0:
+                seen.setdefault(inner, set()).add((v, a - start))
+            assert 0 <= a - start <= 68
+    assert sorted(seen) == list(range(61)) and all(len(s) == 1 for s in seen.values())
+    assert (last - first + 1).sum() == sum(len(t) - 99 for t in texts)
