@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankspark.functions import analysis
+from rankspark.session import keep
 
 
 def plain_path(uri: Column) -> Column:
@@ -21,29 +24,101 @@ def _hidden(name: str) -> bool:
     return name.startswith((".", "_")) and not (name.startswith("_") and "=" in name)
 
 
+# Stores that tasks can list and read by themselves; others are listed by the driver.
+TASK_SCHEMES = ("file", "hdfs", "s3", "gs", "abfs", "abfss")
+LEVEL = "file_path STRING, plain STRING, hidden BOOLEAN, folder BOOLEAN, ms BIGINT, file_size BIGINT"
+# The characters that a file URI holds escaped.
+ESCAPED = re.compile(r"[\x00-\x20\x7f\"#%<>?\[\\\]^`{|}]")
+
+
+def _qualified(spark: SparkSession, root: str):
+    """The store and full path of a root, as Spark's readers see them."""
+    start = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = start.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store, store.makeQualified(start)
+
+
 def _passed_over(spark: SparkSession, roots: Sequence[str]) -> DataFrame | None:
     """(file_path, plain, ms, file_size) of files that ``spark.read`` leaves out; None if there are none.
 
-    The driver lists names only, as it does for every read; tasks read the contents.
+    Tasks list the folders, one level of the trees after the other; the driver only asks
+    whether a level has folders.  A level's table holds its folders and the files wanted,
+    not the names of all files.
     """
-    jvm = spark._jvm
-    conf, rows = spark._jsc.hadoopConfiguration(), []
+    own, parts = [], []
     for root in roots:
-        start = jvm.org.apache.hadoop.fs.Path(root)
-        fs = start.getFileSystem(conf)
-        top = fs.makeQualified(start).toUri().getPath()
-        listed = fs.listFiles(start, True)
-        while listed.hasNext():
-            status = listed.next()
-            uri, size = status.getPath().toUri(), status.getLen()
-            below = uri.getPath()[len(top) :] or uri.getPath().rpartition("/")[2]
-            # checksums are the local file system's own
-            if size and not any(map(_hidden, below.split("/"))):
-                continue
-            rows.append((uri.toString(), uri.getPath(), status.getModificationTime(), size))
+        _, path = _qualified(spark, root)
+        if path.toUri().getScheme() in TASK_SCHEMES:
+            own.append((path.toUri().toString(), path.toUri().getPath(), False))
+        else:
+            parts += _listed_by_driver(spark, root)
+    level = spark.createDataFrame(own, "file_path STRING, plain STRING, hidden BOOLEAN") if own else None
+    tasks = spark.sparkContext.defaultParallelism
+    while level is not None and not level.isEmpty():
+        # a number of partitions of one's own is not coalesced: listing waits, it holds few bytes
+        listed = keep(level.repartition(tasks, "file_path").mapInPandas(_list_folders, LEVEL), "tree-level")
+        parts.append(listed.filter("not folder").select("file_path", "plain", "ms", "file_size"))
+        level = listed.filter("folder").select("file_path", "plain", "hidden")
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _list_folders(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The folders in each folder and its passed-over files; a root may be a file itself."""
+    from pyarrow import fs
+
+    names = [field.split()[0] for field in LEVEL.split(", ")]
+    for frame in frames:
+        for uri, plain, hidden in frame.itertuples(index=False):
+            store, path = _store(uri, plain)
+            info = store.get_file_info(path)
+            single = info.type == fs.FileType.File
+            rows = []
+            for entry in [info] if single else store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+                name = entry.base_name
+                # checksums are the local file system's own
+                if uri.startswith("file:") and name.startswith(".") and name.endswith(".crc"):
+                    continue
+                folder, veiled = entry.type == fs.FileType.Directory, hidden or _hidden(name)
+                if not folder and entry.size and not veiled:
+                    continue
+                below = "" if single else "/" + name
+                rows.append(
+                    (
+                        uri if single else uri.rstrip("/") + ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", below),
+                        plain if single else plain.rstrip("/") + below,
+                        veiled,
+                        folder,
+                        (entry.mtime_ns or 0) // 1_000_000,
+                        entry.size or 0,
+                    )
+                )
+            yield pd.DataFrame(rows, columns=names)
+
+
+def _store(uri: str, plain: str):
+    """The file system of a file and its path there."""
+    from pyarrow import fs
+
+    if uri.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), plain
+    return fs.FileSystem.from_uri(uri)
+
+
+def _listed_by_driver(spark: SparkSession, root: str) -> list[DataFrame]:
+    """The same for stores that only Spark's readers reach: names are listed, no contents read."""
+    store, path = _qualified(spark, root)
+    top, rows = path.toUri().getPath(), []
+    listed = store.listFiles(path, True)
+    while listed.hasNext():
+        status = listed.next()
+        uri, size = status.getPath().toUri(), status.getLen()
+        below = uri.getPath()[len(top) :] or uri.getPath().rpartition("/")[2]
+        if size and not any(map(_hidden, below.split("/"))):
+            continue
+        rows.append((uri.toString(), uri.getPath(), status.getModificationTime(), size))
     if not rows:
-        return None
-    return spark.createDataFrame(rows, "file_path STRING, plain STRING, ms BIGINT, file_size BIGINT")
+        return []
+    return [spark.createDataFrame(rows, "file_path STRING, plain STRING, ms BIGINT, file_size BIGINT")]
 
 
 def _read_others(found: DataFrame) -> DataFrame:
@@ -57,15 +132,10 @@ def _read_others(found: DataFrame) -> DataFrame:
 
 
 def _read_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
     def content(uri: str, plain: str, size: int) -> str:
         if not size:
             return ""
-        if uri.startswith(("file:", "/")):
-            store, path = fs.LocalFileSystem(), plain
-        else:
-            store, path = fs.FileSystem.from_uri(uri)
+        store, path = _store(uri, plain)
         with store.open_input_stream(path) as stream:
             return stream.read().decode("utf-8", "replace")
 
@@ -85,7 +155,7 @@ def scan_tree(
     as ``.txt``, case-sensitive); a root that is itself a file is always kept.
     Unlisted files are dropped before they are opened.  Files that Spark's readers
     pass over (of zero bytes, or below a name that begins with ``_`` or ``.``) are
-    found by a listing of their own and read in batches.  The two provenance columns
+    found by tasks, folder level by folder level, and read in batches.  The two provenance columns
     stand for the host and thread that read the file.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)

@@ -175,3 +175,33 @@ def test_false_separators_at_any_split_edge(spark, tmp_path, newline, end):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_tasks_list_what_the_driver_would(spark, tmp_path):
+    """Passed-over files at any depth, under names that a URI escapes, below roots of both kinds."""
+    names = [
+        "plain.txt", "empty.txt", ".dot", "_under/deep/er/x.txt", "a b/c%20d#e?.txt", "a b/.h [1].txt",
+        "k=v/_m=n/kept.txt", "umlaut \u00e4/\u00e4+{1}.txt", "umlaut \u00e4/_\u00e4+{1}.txt", "x/y/z/w/empty",
+    ]
+    for name in names:
+        path = tmp_path / "tree" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("" if "empty" in name else name, encoding="utf-8")
+    (tmp_path / "tree" / ".plain.txt.crc").write_text("sum")
+    (tmp_path / "tree" / "nothing").mkdir()
+    (tmp_path / "_single").write_text("one file")
+    roots = [str(tmp_path / "tree"), f"file://{tmp_path}/_single"]
+    columns = ["file_path", "plain", "file_size"]
+    ours = files._passed_over(spark, roots).select(columns).collect()
+    theirs = [r for root in roots for part in files._listed_by_driver(spark, root) for r in part.select(columns).collect()]
+    assert sorted(ours) == sorted(theirs) and len(ours) == 7
+    texts = {r.doc_id: r.text for r in files.scan_tree(spark, roots).collect()}
+    want = {f"{tmp_path}/tree/{n}": "" if "empty" in n else n for n in names} | {f"{tmp_path}/_single": "one file"}
+    assert texts == want
+
+
+def test_no_file_is_listed_by_the_driver(spark, tmp_path, monkeypatch):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.txt").write_text("a")
+    monkeypatch.setattr(files, "_listed_by_driver", None)
+    assert [r.text for r in files.scan_tree(spark, str(tmp_path)).collect()] == ["a"]
