@@ -22,6 +22,8 @@ from rankspark.llm.columns import SPACES, U64, chunks, mix, text_bytes
 
 UNKNOWN = "und"
 PROBES = 2
+# parts in which the ids of a language are put in order
+SAMPLE_PARTS = 256
 # Bytes that are no letters (ASCII only; others count as letters).
 NO_LETTER = np.ones(256, bool)
 NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -133,14 +135,14 @@ def learn(
     """
     spark = docs.sparkSession
     rows = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (
-        rows.select("doc_id", "lang")
-        .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= rows_per_language)
-        .select("doc_id", F.col("lang").alias("_lang"))
-        .distinct()
+    # the least of each part of a language, then of them all: no task sorts a whole language
+    least, sample = ("_hash", "doc_id"), rows.select("doc_id", "lang").withColumns(
+        {"_hash": F.xxhash64("doc_id"), "_part": F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(SAMPLE_PARTS))}
     )
+    for group in (("lang", "_part"), ("lang",)):
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(*least))
+        sample = sample.withColumn("_nth", nth).filter(F.col("_nth") <= rows_per_language)
+    sample = sample.select("doc_id", F.col("lang").alias("_lang")).distinct()
     picked = sample.collect()  # rows_per_language for each language
     languages = tuple(sorted({r["_lang"] for r in picked}))
     if not languages:

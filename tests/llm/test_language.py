@@ -56,3 +56,14 @@ def test_no_rows_and_no_labels(spark, docs):
     assert language.identify(docs.limit(0)).count() == 0
     nothing = language.identify(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {(r.lang_pred, r.score) for r in nothing.collect()} == {("und", 0.0)}
+
+
+def test_the_sample_does_not_depend_on_its_parts(spark, monkeypatch):
+    rows = [(i % 40, f"text {i} of language {i % 3} zx{i * 7919}", f"l{i % 3}") for i in range(120)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = []
+    for parts in (1, 5, 256):
+        monkeypatch.setattr(language, "SAMPLE_PARTS", parts)
+        models.append(language.learn(table, rows_per_language=4))
+    for model in models[1:]:
+        assert model.languages == models[0].languages and (model.masks == models[0].masks).all()
