@@ -8,6 +8,7 @@ from rankspark.functions.scoring import Model
 from rankspark.operators import evaluate, feedback, retrieve, similar, tuning
 from rankspark.operators import index as ix
 from rankspark.operators import weights as wt
+from rankspark.session import fresh_folder
 
 
 @pytest.fixture(scope="module")
@@ -184,6 +185,24 @@ def test_tuning_equals_one_search_per_setting(micro, topics, n):
     assert len(together) == min(n, 4) * len(models)
 
 
+def test_tuning_writes_no_score_of_every_document(spark, monkeypatch):
+    """What is kept grows with topics and settings, not with the matching documents."""
+    data = [(i, "apple " * (i % 7 + 1) + "banana") for i in range(600)]
+    many = ix.write_index(spark.createDataFrame(data, "doc_id BIGINT, text STRING"), fresh_folder(spark, "many"))
+    asked = spark.createDataFrame([(1, "apple banana")], "topic_id BIGINT, text STRING")
+    models = tuning.grid("jm") + tuning.grid("dir")
+    kept, write = [], tuning.keep
+    monkeypatch.setattr(tuning, "keep", lambda df, label: kept.append(write(df, label)) or kept[-1])
+    together = tuning.settings_runs(many, retrieve.topic_terms(asked), models, 3)
+    ranked = {(r.model, r.param): [] for r in together.collect()}
+    for r in together.orderBy("rank").collect():
+        ranked[r.model, r.param].append(r.doc_id)
+    assert sum(df.count() for df in kept) <= tuning.BLOCKS + 3 * len(models)
+    for m in (models[1], models[10], models[11], models[15]):
+        alone = retrieve.search(many, retrieve.topic_terms(asked), m, 3).orderBy("rank").collect()
+        assert ranked[m.name, m.param] == [r.doc_id for r in alone]
+
+
 def test_leaderboard_ties_go_to_the_smaller_parameter(spark):
     data = [("jm", p, t, v, v, v) for p, v in ((0.2, 0.5), (0.1, 0.5), (0.3, 0.0)) for t in (1, 2)]
     metrics = spark.createDataFrame(data, "model STRING, param DOUBLE, topic_id BIGINT, P DOUBLE, R DOUBLE, MAP DOUBLE")
