@@ -270,6 +270,14 @@ def test_buckets_go_by_the_text(spark):
     assert ix.default_buckets(twice) == ix.default_buckets(docs)
 
 
+def test_a_bucket_does_not_grow_with_the_texts(spark):
+    """A task works on one bucket, so its memory follows the bucket's text."""
+    docs = spark.range(48).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1 << 18).alias("text"))
+    n_bytes = 48 * 5 * (1 << 18)
+    assert n_bytes / ix.default_buckets(docs) <= 8 << 20
+    assert ix.default_buckets(docs.withColumn("text", F.lit("x"))) == spark.sparkContext.defaultParallelism
+
+
 def scanned_rows(df):
     """Rows that the scan of a table gave."""
     df.collect()
