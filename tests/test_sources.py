@@ -1,5 +1,6 @@
 import os
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -205,3 +206,35 @@ def test_no_file_is_listed_by_the_driver(spark, tmp_path, monkeypatch):
     (tmp_path / "sub" / "a.txt").write_text("a")
     monkeypatch.setattr(files, "_listed_by_driver", None)
     assert [r.text for r in files.scan_tree(spark, str(tmp_path)).collect()] == ["a"]
+
+
+def _tree_files(root):
+    top = Path(root.removeprefix("file:"))
+    return {str(p.parent.relative_to(top)): p.read_bytes() for p in top.rglob("part-*")}
+
+
+def test_a_tree_is_written_as_spark_writes_it(spark):
+    """Odd keys, null and repeated ones, null texts; the same folders and contents."""
+    data = [("a/b", "x"), ("50% {odd}", "é\nz"), ("k", "one"), ("k", "one"), (None, "n"), ("t", None), ("é ü", "")]
+    docs = spark.createDataFrame(data, "doc_id STRING, text STRING")
+    ours, theirs = fresh_folder(spark, "ours"), fresh_folder(spark, "theirs")
+    files.write_tree(docs, ours, tasks=3)
+    docs.repartition(3, "doc_id").write.partitionBy("doc_id").text(theirs)
+    assert _tree_files(ours) == _tree_files(theirs)
+    with pytest.raises(FileExistsError):
+        files.write_tree(docs, ours)
+
+
+def test_a_tree_of_many_folders_is_listed_in_few_tasks(spark):
+    """Spark's reader alone starts a task for each folder."""
+    root = fresh_folder(spark, "folders")
+    files.write_tree(spark.range(150).selectExpr("id AS doc_id", "'text' AS text"), root)
+    spark.sparkContext.setJobGroup("list-tree", "list-tree")
+    try:
+        scanned = files.scan_tree(spark, root)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup("list-tree") for s in status.getJobInfo(j).stageIds}
+    assert 0 < max(status.getStageInfo(s).numTasks for s in stages) < 50
+    assert scanned.filter("path LIKE '%/doc_id=%'").count() == 150
