@@ -296,3 +296,13 @@ def test_a_lookup_of_an_absent_keyword_reads_no_row_group(spark):
     assert scanned_rows(absent) == 0
     # the row groups of the other bucket are passed over as well
     assert 0 < scanned_rows(present) < 20_000
+
+
+def test_postings_of_a_table_are_counted_in_tasks_of_a_buckets_text(spark, monkeypatch):
+    """Spark would put 64 MB of a shuffle into one task, whose counts do not fit."""
+    monkeypatch.setattr(ix, "BUCKET_BYTES", 8)
+    docs = spark.createDataFrame([(i, "apple pie") for i in range(20)], "doc_id BIGINT, contents STRING")
+    built = ix.build_postings(docs)
+    assert "hashpartitioning(doc_id" in built._jdf.queryExecution().toString()
+    assert "), REPARTITION_BY_NUM" in built._jdf.queryExecution().toString()
+    assert sorted(rows(built)) == sorted(("contents", w, i, 1, 2) for i in range(20) for w in ("apple", "pie"))
