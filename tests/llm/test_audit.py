@@ -1,5 +1,9 @@
 import itertools
+import os
 import random
+import tempfile
+import time
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -86,6 +90,19 @@ def test_an_earlier_copy_takes_back_counts(spark):
     assert sorted((r.part, r.mask, r.n) for r in counts) == [("early", 1, 1), ("late", 1, -1), ("late", 1, 1), ("late", 17, 1)]
 
 
+def test_a_small_state_sets_no_disk_aside(spark):
+    path, began = fresh_folder(spark, "audit-test"), time.time()
+    spark.createDataFrame([(1, "one two", "a")], "doc_id long, text string, source string").write.parquet(path)
+    key = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+    before = spark.conf.get(key, None)
+    audit.filter_audit(spark, path, spark.createDataFrame([], LABELS)).count()
+    assert spark.conf.get(key, None) == before
+    local = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    logs = [f.stat() for f in Path(local).glob("spark-*/**/MANIFEST-*")]
+    taken = [s.st_blocks * 512 for s in logs if s.st_mtime >= began - 1]
+    assert taken and max(taken) < 1 << 20
+
+
 def test_no_documents(spark):
     path = fresh_folder(spark, "audit-test")
     spark.createDataFrame([], "doc_id long, text string, source string").write.parquet(path)
