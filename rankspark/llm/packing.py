@@ -15,7 +15,6 @@ by block; the last, unfinished window of a block begins the next one.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,20 +33,20 @@ def place_cuts(
 ) -> tuple[np.ndarray, np.ndarray]:
     """(positions, penalties) of all cuts of a stream: document ends, sentence ends, and
     places inside stretches of more than a 128th of the capacity that have neither."""
-    near = np.union1d(stops, ends)
-    gaps = np.diff(np.concatenate([[0], near]))
+    ends = np.asarray(ends, np.int64)
+    near = np.sort(np.concatenate([stops, ends]))
+    near = near[np.diff(near, prepend=-1) > 0]
+    gaps = np.diff(near, prepend=0)
     step = max(1, capacity // 128)
-    inside = [
-        np.arange(end - gap + step, end, step)
-        for end, gap in zip(near[gaps > step].tolist(), gaps[gaps > step].tolist(), strict=True)
-    ]
-    cost = [
-        (np.asarray(ends, np.int64), 0.0),
-        (np.setdiff1d(stops, ends), sentence_cost),
-        (np.concatenate([np.zeros(0, np.int64), *inside]), inside_cost),
-    ]
-    at = np.concatenate([a for a, _ in cost])
-    penalty = np.concatenate([np.full(len(a), c) for a, c in cost])
+    # a stretch of n tokens has places after each step, but none at its end
+    extra = (gaps - 1) // step
+    first = np.cumsum(extra) - extra
+    nth = np.arange(int(extra.sum()), dtype=np.int64) - np.repeat(first, extra)
+    inside = np.repeat(near - gaps, extra) + step * (nth + 1)
+    at_end = np.zeros(len(near), bool)
+    at_end[np.searchsorted(near, ends)] = True
+    at = np.concatenate([near, inside])
+    penalty = np.concatenate([np.where(at_end, 0.0, sentence_cost), np.full(len(inside), inside_cost)])
     order = np.argsort(at, kind="stable")
     return at[order], penalty[order]
 
@@ -58,27 +57,32 @@ def cut_windows(positions: list[int], penalties: list[float], capacity: int) ->
     The last window is open: it holds what is left over and costs nothing, so of equal
     ways the one that leaves least is taken.
     """
-    best, back = [0.0], [-1]
     points = [0, *positions]
-    queue: deque[int] = deque([0])  # indices into points, keys ascending
-    keys = [0.0]
-    for j in range(1, len(points)):
-        p = points[j]
-        while points[queue[0]] < p - capacity:
-            queue.popleft()
-        i = queue[0]
-        value = capacity - p + penalties[j - 1] + keys[i]
-        best.append(value)
-        back.append(i)
-        key = value + p
-        keys.append(key)
-        while queue and keys[queue[-1]] >= key:
-            queue.pop()
-        queue.append(j)
+    keys, back = [0.0] * len(points), [-1] * len(points)
+    queue, head = [0], 0  # indices into points, keys ascending from ``head``
+    # the least key serves all cuts that its window reaches
+    front, low, reach = 0, 0.0, capacity
+    for j, (p, penalty) in enumerate(zip(positions, penalties, strict=True), 1):
+        if p > reach:
+            while points[queue[head]] < p - capacity:
+                head += 1
+            front = queue[head]
+            low, reach = keys[front], points[front] + capacity
+        keys[j] = key = capacity - p + penalty + low + p
+        back[j] = front
+        if key <= low:
+            queue, head = [j], 0
+            front, low, reach = j, key, p + capacity
+        elif keys[queue[-1]] < key:
+            queue.append(j)
+        else:
+            while keys[queue[-2]] >= key:
+                queue.pop()
+            queue[-1] = j
     end = points[-1]
-    last = len(points) - 1
+    cost = lambda i: capacity - points[i] + penalties[i - 1] + keys[back[i]] if i else 0.0
     open_from = min(
-        (i for i in range(last, -1, -1) if points[i] >= end - capacity), key=lambda i: (best[i], -i)
+        (i for i in range(len(points) - 1, -1, -1) if points[i] >= end - capacity), key=lambda i: (cost(i), -i)
     )
     cuts, i = [], open_from
     while i > 0:

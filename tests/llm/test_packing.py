@@ -1,4 +1,5 @@
 import itertools
+import sys
 import zlib
 
 import numpy as np
@@ -70,3 +71,22 @@ def test_pieces_hold_all_ids(docs, corpus):
     full = np.where(lengths & (lengths - 1) == 0, lengths, 64)
     assert 1 - lengths.sum() / full.sum() < 0.05
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_few_calls_for_each_cut():
+    """The search is one plain loop: what it calls for each place decides the operator's CPU time."""
+    rng = np.random.default_rng(5)
+    ends = np.cumsum(rng.integers(20, 900, 300))
+    stops = np.unique(rng.integers(1, ends[-1], int(ends[-1]) // 12))
+    calls = [0]
+
+    def count(_frame, event, _arg):
+        calls[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        at, penalty = packing.place_cuts(stops, ends, 4096, 2.0, 16.0)
+        packing.cut_windows(at.tolist(), penalty.tolist(), 4096)
+    finally:
+        sys.setprofile(None)
+    assert calls[0] < 2 * len(at)
