@@ -1,3 +1,4 @@
+import collections
 import itertools
 import random
 
@@ -149,3 +150,60 @@ def test_seeds_of_several_texts_take_few_bytes():
     want = np.unique(passages._seed_rows(None, 0, 1, raw, offsets, 4, 1)[0])
     assert sorted(h for r in map_of.values() for h in r["hot"]) == (want >> np.uint64(64 - passages.SEED_BITS)).tolist()
     assert sum(bin(int.from_bytes(r["bits"])).count("1") for r in map_of.values()) == len(want)
+
+
+def test_a_passage_is_found_in_every_earlier_text(spark, monkeypatch):
+    rng = random.Random(26)
+    passage = invent(rng, 50).split()
+    one, two = " ".join(passage[:27]), " ".join(passage[23:])
+    rows = [(1, one), (2, two), (3, " ".join([invent(rng, 9), *passage])), (4, two), (5, one)]
+    # the seeds of 6 and 7 lead to parts of the passage first, and to parts next
+    rows += [(6, " ".join([*passage, invent(rng, 9)])), (7, one), (7, two), (8, " ".join([invent(rng, 4), *passage]))]
+    rows += [(9, rows[2][1]), (None, rows[2][1])]
+    table = spark.createDataFrame([(i, f"{t} {invent(rng, 3)}" if t in (one, two) else t) for i, t in rows], "doc_id long, text string")
+    want = {(6, 3), (8, 3), (8, 6), (9, 3), (9, 6), (9, 8), (None, 3), (None, 6), (None, 8)}
+    for hot, ranges, most in ((1 << 12, 32, 1 << 21), (1, 3, 7), (1, 1, 1)):
+        monkeypatch.setattr(passages, "HOT_TEXTS", hot)
+        monkeypatch.setattr(passages, "RANGES", ranges)
+        monkeypatch.setattr(passages, "MATCHES", most)
+        got = passages.fuzzy_passages(table).collect()
+        assert {(r.doc_id, r.source_doc_id) for r in got} == want
+        assert all(r.end_word - r.start_word >= 50 and r.n_matched >= 50 for r in got)
+
+
+def test_matches_of_any_batches_are_all_pairs():
+    rng = random.Random(32)
+    names = [part.split()[0] for part in passages.SPOTS.split(", ")]
+    spans = {c: (lo, lo + rng.choice([0, 0, 3])) for c in range(1, 15) for lo in [rng.randrange(12)]}
+    for size in (1, 2, 5, 1000):
+        rows = [(a, 0, spans[c][0], c, spans[c][1], 4 * k + (k == 0)) for a in range(5) for c in spans if rng.random() < 0.6 for k in range(2)]
+        # a cell of two ranges of a hot seed: places of one side meet those of the other
+        rows += [(9, 2, spans[c][0], c, spans[c][1], 4 * 7 + 2 * (c > 6) + 1) for c in spans]
+        rows.sort()
+        want = collections.Counter()
+        for x, y in itertools.product(rows, rows):
+            earlier = (y[2], y[3]) < (x[4], x[3]) and x[3] != y[3] and y[5] & 1
+            if x[:2] == y[:2] and earlier and (not x[1] or (x[5] ^ y[5]) & 2):
+                want[x[3], y[3], x[5] >> 2, y[5] >> 2] += 1
+        batches = (pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[a : a + size])], names) for a in range(0, len(rows), size))
+        got = collections.Counter()
+        for batch in passages._pair_task(2, 10)(batches):
+            for r in batch.to_pylist():
+                for p, q in np.frombuffer(r["spots"], "<i4").reshape(-1, 2).tolist():
+                    got[r["own"], r["source"], p, q] += 1
+        assert got == want
+
+
+def test_chains_left_out_for_want_of_matches_have_no_passage(spark):
+    fewest = passages.fewest_matches(4, 1, 0.8, 50)
+    assert fewest == 7 and passages.fewest_matches(4, 2, 0.8, 50) == passages.fewest_matches(4, 1, 0.7, 50) == 1
+    # ten words of fifty replaced leave so many seeds: runs of three, and one of ten
+    same = np.ones(50, bool)
+    same[np.arange(10) * 4 + 3] = False
+    assert same.sum() == 40 and sum(same[k : k + 4].all() for k in range(47)) == fewest
+    rng = random.Random(27)
+    passage = invent(rng, 50).split()
+    own = [w if same[k] else f"other{k}" for k, w in enumerate(passage)]
+    rows = [(1, " ".join([*passage, invent(rng, 20)])), (2, " ".join([invent(rng, 20), *own]))]
+    got = passages.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.source_doc_id, r.n_matched) for r in got} == {(2, 1, 40)}
