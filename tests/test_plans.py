@@ -1,5 +1,7 @@
 """Shapes that have to hold for plans to scale, and the ways past the size checks."""
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import Window
@@ -203,6 +205,30 @@ def test_tuning_reads_the_postings_once(spark, c):
     assert "postings" not in text and "settings-" in text
 
 
+def test_tuning_scores_few_documents_twice(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(rng.randrange(20, 60)))) for i in range(1500)]
+    index = ix.write_index(spark.createDataFrame(texts, "doc_id BIGINT, text STRING"), session.fresh_folder(spark, "tuned"))
+    terms = retrieve.topic_terms(spark.createDataFrame([(1, "w1 w2 w7 w30"), (2, "w1 w5 w90")], "topic_id BIGINT, text STRING"))
+    scored, summed = [], tuning.summed
+    monkeypatch.setattr(tuning, "summed", lambda rows_, named: scored.append(rows_) or summed(rows_, named))
+    models = tuning.grid("jm")[1:6]
+    run = sorted(rows(tuning.settings_runs(index, terms, models, 10)))
+    first, second = (df.count() for df in scored)
+    assert second < 0.15 * first
+    # blocks decide what is scored twice, not the result
+    monkeypatch.setattr(tuning, "BLOCKS", 1)
+    assert sorted(rows(tuning.settings_runs(index, terms, models, 10))) == run
+
+
+def test_best_param_scores_training_topics_only(spark, c, monkeypatch):
+    asked, metrics = [], tuning.settings_metrics
+    monkeypatch.setattr(tuning, "settings_metrics", lambda *args: asked.append(args) or metrics(*args))
+    assert REGISTRY["best_param"](spark, SF).count() == 2
+    low, high = c.topics.agg(F.min("topic_id"), F.max("topic_id")).first()
+    assert all(df.agg(F.max("topic_id")).first()[0] <= (low + high) / 2 for df in asked[0][1:3])
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_sums_out_of_range_raise(spark, ansi):
     """No addend is left out silently, in ANSI mode or not."""
